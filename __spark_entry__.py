@@ -12,6 +12,7 @@ from corpuslens import oracle
 from corpuslens.fixtures import INDEX_URL, SPEAKER, Inputs
 from corpuslens.operators import corpus, distributions, evaluate, feedback, ingest, queues, reports, threads, vectors
 from corpuslens.plans.slices import NONTWEET, TWEET
+from corpuslens.schemas import LENGTHS, TABLES
 from corpuslens.sources import claims, transcripts, tweets
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,7 +102,8 @@ def _corpus() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
         "d02_truths": (lambda i: corpus.truths(*truth_args(i)), oracle.TRUTHS),
         "d03_falsehoods_tiny": (lambda i: corpus.falsehoods_tiny(i.wp_statements), oracle.FALSEHOODS_TINY),
         "d04_truths_tiny": (lambda i: corpus.truths_tiny(*truth_args(i)), oracle.TRUTHS_TINY),
-        "d05_all_truths": (lambda i: i.truth_snapshot, oracle.ALL_TRUTHS),
+        "d05_all_truths": (lambda i: corpus.all_truths(*truth_args(i)), oracle.ALL_TRUTHS),
+        "d06_truth_snapshot": (lambda i: i.truth_snapshot, oracle.ALL_TRUTHS),
         "d07_target_distribution": (
             lambda i: corpus.target_distribution(i.wp_statements, i.truth_snapshot), oracle.TARGET),
         "d08_matched_falsehoods": (lambda i: i.falsehood_rows, oracle.with_tables("select * from {fm}", **oracle.MATCHED)),
@@ -253,14 +255,82 @@ def _sources() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
         "s04_page_totals": (lambda i: claims.page_totals(i.claim_pages), oracle.PAGE_TOTALS),
         "s04_page_last_dates": (lambda i: claims.page_last_dates(i.claim_pages), oracle.PAGE_LAST_DATES),
         "s05_timeline": (lambda i: tweets.timeline(i.timeline_lines), oracle.TIMELINE),
-        "w01_threads": (lambda i: threads.build_threads(i.messages, THREAD_LATENCY, THREAD_NOW), None),
+        "w01_threads": (
+            lambda i: threads.build_threads(i.messages, THREAD_LATENCY, THREAD_NOW),
+            oracle.threads(THREAD_LATENCY, str(THREAD_NOW), True)),
         "w01_threads_corrected": (
-            lambda i: threads.build_threads(i.messages, THREAD_LATENCY, THREAD_NOW, compat=False), None),
+            lambda i: threads.build_threads(i.messages, THREAD_LATENCY, THREAD_NOW, compat=False),
+            oracle.threads(THREAD_LATENCY, str(THREAD_NOW), False)),
+    }
+
+
+def _loading() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
+    def marks(i):
+        day, zero = F.lit(ingest.BEGINNING_OF_TIME).cast("date"), F.lit(0).cast("bigint")
+        feeds = {
+            "claims": ingest.high_water_mark(i.wp_statements, "s_date", day, F.col("iid") == 1),
+            "transcripts": ingest.high_water_mark(i.fbase_transcripts, "t_date", day),
+            "tweets": ingest.high_water_mark(i.dcbot_tweets, "end_thread_tweet_id", zero),
+        }
+        rows = [m.select(F.lit(n).alias("feed"), F.col("latest").cast("string"), "initial_load") for n, m in feeds.items()]
+        return rows[0].union(rows[1]).union(rows[2])
+
+    def newer(i):
+        mark = ingest.high_water_mark(i.loaded_messages, "tweet_id", F.lit(0).cast("bigint"))
+        return ingest.newer_rows(i.raw_tweets, mark, "tweet_id", inclusive=False).select("tweet_id", "user_id")
+
+    def rejects(i):
+        rules = ingest.broken_rules(TABLES["wp_statements"], LENGTHS["wp_statements"])
+        found = ingest.with_reject_reason(i.wp_statements, i.dcbot_tweets, ["statement_hash"], ["sid"], rules)
+        return found.select("sid", "reject_reason")
+
+    def english(i):
+        return i.wp_statements.where(F.col("topic") == "en").select(F.col("sid").alias("falsehood_id"))
+
+    return {
+        "s06_high_water_mark": (marks, oracle.HIGH_WATER),
+        "s07_newer_rows": (newer, oracle.NEWER),
+        "s08_unknown_ids": (
+            lambda i: ingest.unknown_ids(i.fbase_statements, i.stmts_analyzed_published, ["tid", "sid"])
+            .select("tid", "sid"),
+            oracle.UNKNOWN),
+        "s09_rows_to_insert": (
+            lambda i: ingest.rows_to_insert(
+                i.wp_statements.select("sid", "statement_hash"), i.dcbot_tweets, ["statement_hash"], ["sid"]),
+            oracle.TO_INSERT),
+        "s10_reject_reasons": (rejects, oracle.REJECTS),
+        "s11_claim_rowset": (lambda i: ingest.claim_rowset(i.wp_statements), oracle.CLAIM_ROWSET),
+        "s12_sql_frame": (
+            lambda i: ingest.sql_frame(
+                i.spark, "select source, count(*) n, max(wc) longest from {claims} group by source",
+                claims=i.wp_statements),
+            oracle.SQL_FRAME),
+        "s14_surrogate_keys": (
+            lambda i: ingest.with_surrogate_key(
+                i.wp_statements.select("sid", "s_date"), i.dcbot_tweets, "thread_id", ["s_date", "sid"])
+            .select("thread_id", "sid"),
+            oracle.SURROGATE),
+        "s15_generated_word_count": (
+            lambda i: ingest.with_word_count(i.wp_statements.drop("wc")).select("sid", "wc"), oracle.GENERATED),
+        "s16_key_violations": (
+            lambda i: ingest.key_violations(i.wp_statements, ["statement_hash"]), oracle.KEY_VIOLATIONS),
+        "s16_null_violations": (
+            lambda i: ingest.null_violations(i.infsvc_tweets_published, ["dc_tid", "thread_id", "actual_label"]),
+            oracle.NULL_VIOLATIONS),
+        "s16_orphans": (
+            lambda i: ingest.orphans(i.base_false_truth_del_cands, english(i), ["falsehood_id"])
+            .select("falsehood_id", "truth_id"),
+            oracle.ORPHANS),
+        "s16_cascade_delete": (
+            lambda i: ingest.cascade_delete(
+                i.fbase_statements, i.fbase_transcripts.where("t_date < date '2018-01-01'"), ["tid"])
+            .select("tid", "sid"),
+            oracle.CASCADE),
     }
 
 
 def _all() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
-    found = {**_sources(), **_corpus(), **_evaluation(), **_reports(), **_queues_and_feedback(), **_distributions()}
+    found = {**_sources(), **_loading(), **_corpus(), **_evaluation(), **_reports(), **_queues_and_feedback(), **_distributions()}
     return dict(sorted(found.items()))
 
 

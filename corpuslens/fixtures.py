@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslens.operators import corpus
+from corpuslens.session import materialise
+from corpuslens.sources.tweets import timeline
 
 RAW = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -164,12 +166,14 @@ class Inputs:
 
     @cached_property
     def truth_snapshot(self) -> DataFrame:
-        return corpus.all_truths(self.fbase_statements, self.fbase_transcripts, self.dcbot_tweets, self.wp_statements)
+        return corpus.truth_snapshot(
+            self.fbase_statements, self.fbase_transcripts, self.dcbot_tweets, self.wp_statements
+        )
 
     @cached_property
     def converged(self) -> DataFrame:
-        """Sampled truths; their id is kept for checks."""
-        return corpus.converged_sample(self.wp_statements, self.truth_snapshot)
+        """The table of sampled truths; their id is kept for checks."""
+        return materialise(corpus.converged_sample(self.wp_statements, self.truth_snapshot))
 
     @cached_property
     def falsehood_rows(self) -> DataFrame:
@@ -257,10 +261,13 @@ class Inputs:
     @cached_property
     def messages(self) -> DataFrame:
         """The timeline as threads see it: author, tweet_id, text, ts, is_rt, more."""
-        from corpuslens.sources.tweets import timeline
-
         return timeline(self.timeline_lines)
 
+    @cached_property
+    def loaded_messages(self) -> DataFrame:
+        """The part of the timeline that an earlier run has loaded."""
+        return self.raw_tweets.where(F.col("created_at") < F.lit("2024-01-20").cast("timestamp"))
+
     @cached_property
     def claim_vectors(self) -> DataFrame:
         """The embeddings rounded to two decimals, standing for restated claims."""

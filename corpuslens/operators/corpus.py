@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslens.functions.scores import flag
 from corpuslens.functions.text import composite_id, match_hash
 from corpuslens.plans.ranks import cume_dist, global_rank, smallest_per_group, tile_of_rank
 from corpuslens.plans.slices import CONVERGED, newest_dataset
+from corpuslens.session import materialise
 
 WORDS = (7, 107)
 FIRST_DAY = "2017-01-19"
@@ -142,17 +143,30 @@ def all_truths(
     return spoken.unionByName(written)
 
 
-def target_distribution(claims: DataFrame, truth_snapshot: DataFrame, words: tuple[int, int] = WORDS) -> DataFrame:
-    """Per word count in both classes: its share among claims, and the size of the matched truth set."""
+def truth_snapshot(
+    statements: DataFrame, transcripts: DataFrame, tweets: DataFrame, claims: DataFrame
+) -> DataFrame:
+    """``all_truths`` as it is now, stored; later changes of its tables do not show."""
+    return materialise(all_truths(statements, transcripts, tweets, claims))
+
+
+def _quotas(claims: DataFrame, truth_snapshot: DataFrame, words: tuple[int, int]) -> DataFrame:
+    """Per word count in both classes: share among claims, and the wanted number of truths."""
+    everything = Window.partitionBy()  # one row per accepted word count
     source = claims.where(in_words(words=words)).groupBy("wc").agg(F.count(F.lit(1)).alias("n"))
+    share = F.col("n") / F.sum("n").over(everything).cast("double")
     target = truth_snapshot.where(in_words("swc", words)).groupBy(F.col("swc").alias("wc")).agg(
-        F.count(F.lit(1)).alias("target_n")
+        F.count(F.lit(1)).alias("n")
     )
-    source_total = source.agg(F.sum("n").cast("double")).scalar()
-    target_total = target.agg(F.sum("target_n").cast("double")).scalar()
-    both = source.join(target, "wc").select("wc", (F.col("n") / source_total).alias("xformed_wc_cnt"))
-    size = both.agg(F.sum(F.round(target_total * F.col("xformed_wc_cnt")))).scalar()
-    return both.withColumn("xformed_dist_size", size)
+    size = F.sum("n").over(everything).cast("double")
+    both = source.select("wc", share.alias("share")).join(target.select("wc", size.alias("size")), "wc")
+    return both.select("wc", "share", F.round(F.col("size") * F.col("share")).alias("wanted"))
+
+
+def target_distribution(claims: DataFrame, truth_snapshot: DataFrame, words: tuple[int, int] = WORDS) -> DataFrame:
+    """Per word count in both classes: its share among claims, and the size of the matched truth set."""
+    size = F.sum("wanted").over(Window.partitionBy()).alias("xformed_dist_size")
+    return _quotas(claims, truth_snapshot, words).select("wc", F.col("share").alias("xformed_wc_cnt"), size)
 
 
 def converged_sample(
@@ -163,11 +177,10 @@ def converged_sample(
     Per word count, ``round(truths * share of claims)`` truths are wanted and the ones with
     the smallest seeded hash are taken; all of them when there are fewer.
     """
-    kept = truth_snapshot.where(in_words("swc", words))
-    total = kept.agg(F.count(F.lit(1)).cast("double")).scalar()
-    quotas = target_distribution(claims, truth_snapshot, words).select(
-        F.col("wc").alias("swc"), F.round(total * F.col("xformed_wc_cnt")).cast("bigint").alias("quota")
+    quotas = _quotas(claims, truth_snapshot, words).select(
+        F.col("wc").alias("swc"), F.col("wanted").cast("bigint").alias("quota")
     )
+    kept = truth_snapshot.where(in_words("swc", words))
     code = F.sha1(F.concat_ws("-", F.col("truth_id"), F.lit(str(seed))))
     coded = kept.join(F.broadcast(quotas), "swc").withColumn("code", code)  # one row per accepted word count
     return smallest_per_group(coded, ["swc"], "quota", "code", "truth_id").select(

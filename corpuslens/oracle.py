@@ -516,3 +516,96 @@ TIMELINE = """select user_id author, event_id tweet_id, case when event_type = '
       date_trunc('millisecond', ts) ts, event_type = 'error' is_rt,
       case when event_type in ('click', 'purchase') then 1 else 0 end "more",
       case when event_type in ('view', 'purchase') then 1 else 0 end cont from events"""
+
+HIGH_WATER = with_tables(
+    """select 'claims' feed, cast(coalesce(max(s_date), date '1900-01-01') as varchar) latest, max(s_date) is null initial_load
+      from {wp_statements} where iid = 1
+    union all select 'transcripts', cast(coalesce(max(t_date), date '1900-01-01') as varchar), max(t_date) is null
+      from {fbase_transcripts}
+    union all select 'tweets', cast(coalesce(max(end_thread_tweet_id), 0) as varchar), max(end_thread_tweet_id) is null
+      from {dcbot_tweets}"""
+)
+NEWER = with_tables(
+    """select tweet_id, user_id from {raw_tweets} where tweet_id >
+      (select max(tweet_id) from {raw_tweets} where created_at < timestamp '2024-01-20 00:00:00')"""
+)
+UNKNOWN = with_tables(
+    """select s.tid, s.sid from {fbase_statements} s left join {stmts_analyzed_published} p
+      on s.tid = p.tid and s.sid = p.sid where p.tid is null"""
+)
+TO_INSERT = with_tables(
+    """select sid, statement_hash from (select *, row_number() over (partition by statement_hash order by sid) rn
+        from {wp_statements}) w where rn = 1 and statement_hash not in (select statement_hash from {dcbot_tweets})"""
+)
+REJECTS = with_tables(
+    """select sid, case when length(statement_text) > 2000 then 'too_long:statement_text'
+        when statement_hash in (select statement_hash from {dcbot_tweets}) then 'exists'
+        when row_number() over (partition by statement_hash order by sid) > 1 then 'duplicate_in_batch' end reject_reason
+      from {wp_statements}"""
+)
+CLAIM_ROWSET = with_tables(
+    """select iid, statement_text, repeats, topic, source, pinnochios, s_date, sha1(statement_text) statement_hash
+      from {wp_statements}"""
+)
+GENERATED = with_tables(
+    """select sid, length(statement_text) - length(replace(statement_text, ' ', '')) + 1 wc from {wp_statements}"""
+)
+SURROGATE = with_tables(
+    """select (select max(thread_id) from {dcbot_tweets}) + row_number() over (order by s_date, sid) thread_id, sid
+      from {wp_statements}"""
+)
+KEY_VIOLATIONS = with_tables(
+    "select statement_hash, count(*) n from {wp_statements} group by statement_hash having count(*) > 1"
+)
+NULL_VIOLATIONS = with_tables(
+    "select 'actual_label' column_name, count(*) n from {infsvc_tweets_published} where actual_label is null"
+)
+ORPHANS = with_tables(
+    """select falsehood_id, truth_id from {base_false_truth_del_cands}
+      where falsehood_id not in (select sid from {wp_statements} where topic = 'en')"""
+)
+CASCADE = with_tables(
+    """select tid, sid from {fbase_statements}
+      where tid not in (select tid from {fbase_transcripts} where t_date < date '2018-01-01')"""
+)
+SQL_FRAME = with_tables("select source, count(*) n, max(wc) longest from {wp_statements} group by source")
+
+
+def threads(latency: int, now: str, compat: bool) -> str:
+    """The sequential rules, one message of every author per step of a recursive query."""
+    old = f"timestamp '{now}' - interval {latency} second"
+    near = f"(s.t_open is not null and o.ts - s.t_open < interval {latency} second)"
+    young = f"(not {near} and o.\"more\" = 1 and o.ts > {old})"
+    opens = f"(not {near} and o.\"more\" = 1 and o.ts <= {old})"
+    goes_on = f"({near} and o.\"more\" = 1)"
+    lead = "' ' || " if compat else ""
+    x_id, x_end = ("s.first_id", "s.t_open") if compat else ("s.last_id", "s.t_last")
+    return f"""with recursive m as ({TIMELINE}), own as (
+        select author, tweet_id, ts, "more", regexp_replace("text", '^\\.{{2,}}', '') "text",
+          regexp_replace(regexp_replace("text", '^\\.{{2,}}', ''), '\\.{{2,}}$', '') piece,
+          row_number() over (partition by author order by tweet_id) rn
+        from m where not is_rt),
+      s as (
+        select author, cast(0 as bigint) rn, cast(null as timestamp) t_open, cast(null as bigint) first_id,
+          cast(null as bigint) last_id, cast(null as timestamp) t_last, '' txt, cast(null as bigint) x_id, '' x_txt,
+          cast(null as timestamp) x_start, cast(null as timestamp) x_end, cast(null as bigint) d_id, '' d_txt,
+          cast(null as timestamp) d_start, cast(null as timestamp) d_end, cast(null as bigint) stop_id
+        from (select distinct author from own) a
+        union all
+        select s.author, o.rn,
+          case when {goes_on} then s.t_open when {opens} then o.ts end,
+          case when {goes_on} then s.first_id when {opens} then o.tweet_id end,
+          case when {goes_on} or {opens} then o.tweet_id end,
+          case when {goes_on} or {opens} then o.ts end,
+          case when {goes_on} then s.txt || ' ' || o.piece when {opens} then {lead}o.piece else '' end,
+          case when s.t_open is not null and not {near} then {x_id} end, s.txt, s.t_open, {x_end},
+          case when o."more" = 0 then o.tweet_id end,
+          case when {near} then s.txt || ' ' || o.piece else o."text" end,
+          case when {near} then s.t_open else o.ts end, o.ts,
+          case when {young} then o.tweet_id end
+        from s join own o on o.author = s.author and o.rn = s.rn + 1 where s.stop_id is null)
+      select author, x_id end_id, x_txt "text", x_start t_start, x_end t_end, false is_rt from s where x_id is not null
+      union all select author, d_id, d_txt, d_start, d_end, false from s where d_id is not null
+      union all select m.author, tweet_id, "text", ts, ts, true from m
+        left join (select author, min(stop_id) stop_id from s group by author) e on e.author = m.author
+        where is_rt and (e.stop_id is null or tweet_id < e.stop_id)"""
