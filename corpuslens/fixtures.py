@@ -164,6 +164,11 @@ class Inputs:
         sql = OFFSETS["spark"] if name == "claim_offsets" else SQL[name]
         return self.spark.sql(sql, **{ref: getattr(self, ref) for ref in references(sql)})
 
+    def _spread(self, df: DataFrame) -> DataFrame:
+        """A scan over all cores when its files give fewer tasks, for work that is heavy per row."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
     @cached_property
     def truth_snapshot(self) -> DataFrame:
         return corpus.truth_snapshot(
@@ -206,7 +211,7 @@ class Inputs:
     @cached_property
     def timeline_lines(self) -> DataFrame:
         """The raw messages as JSON lines; reposts repeat their text in ``retweeted_status``."""
-        t = self.raw_tweets
+        t = self._spread(self.raw_tweets)
         repeated = F.when(F.col("is_rt"), F.struct("full_text"))
         own = F.when(~F.col("is_rt"), F.col("full_text")).otherwise("RT")
         line = F.struct(
@@ -222,7 +227,7 @@ class Inputs:
         head = F.lit("<html><body><h1>Total <span class='franklin-bold red'> 1,0")
         number = F.lpad((F.col("doc_id") % 100).cast("string"), 2, "0")
         html = F.concat(head, number, F.lit("</span></h1><script>var t='<div class=\"claim-row\">';</script>"), blocks, F.lit("</body></html>"))
-        return self.documents.select("doc_id", html.alias("html"))
+        return self._spread(self.documents).select("doc_id", html.alias("html"))
 
     @cached_property
     def transcript_pages(self) -> DataFrame:
@@ -260,8 +265,8 @@ class Inputs:
 
     @cached_property
     def messages(self) -> DataFrame:
-        """The timeline as threads see it: author, tweet_id, text, ts, is_rt, more."""
-        return timeline(self.timeline_lines)
+        """The table of cleaned messages: author, tweet_id, text, ts, is_rt, more."""
+        return materialise(timeline(self.timeline_lines))
 
     @cached_property
     def loaded_messages(self) -> DataFrame:

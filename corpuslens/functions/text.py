@@ -7,6 +7,7 @@ space means what Python's ``str.strip`` and ``\\s`` mean, spelled out because Ja
 from __future__ import annotations
 
 import html
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, SparkSession
@@ -109,12 +110,20 @@ def top_level_domains() -> list[str]:
     return GENERIC_DOMAINS + sorted(countries - set(NOT_DOMAINS) | set(EXTRA_DOMAINS))
 
 
+def _any_of(words: list[str]) -> str:
+    """Alternatives grouped by first letter, so that a regular expression rejects most by one character."""
+    groups: dict[str, list[str]] = {}
+    for word in words:
+        groups.setdefault(word[0], []).append(word[1:])
+    return "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in groups.items())
+
+
 def url_pattern(domains: list[str] | None = None) -> str:
     """Web addresses with a scheme, or bare domains with a known ending, with balanced brackets inside.
 
     This is the widely published "liberal" URL pattern, written from its parts.
     """
-    known = "|".join(top_level_domains() if domains is None else domains)
+    known = _any_of(top_level_domains() if domains is None else domains)
     nested = r"\([^\s()]*?\([^\s()]+\)[^\s()]*?\)"
     flat = r"\([^\s]+?\)"
     start = rf"(?:https?:(?:/{{1,3}}|[a-z0-9%])|[a-z0-9.\-]+[.](?:{known})/)"
@@ -124,6 +133,21 @@ def url_pattern(domains: list[str] | None = None) -> str:
     return rf"(?iU)\b(?:{start}{middle}{end}|{bare})"
 
 
+def _once(text: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(text)`` with ``text`` evaluated once, however often ``use`` mentions it."""
+    return F.transform(F.array(text), use)[0]
+
+
+def remove_urls(text: Column, domains: list[str] | None = None) -> Column:
+    """Text without web addresses. Texts that cannot hold one skip the long pattern."""
+    pattern = url_pattern(domains)
+
+    def replaced(t: Column) -> Column:
+        return F.when(t.rlike(r"(?i)http|\.\p{L}"), F.regexp_replace(t, pattern, "")).otherwise(t)
+
+    return _once(text, replaced)
+
+
 def _remove(text: Column, *patterns: str) -> Column:
     for pattern in patterns:
         text = F.regexp_replace(text, pattern, "")
@@ -140,7 +164,7 @@ def _clean_marks(text: Column, domains: list[str] | None) -> Column:
     """The part that tweets and claims share."""
     text = F.replace(text, F.lit(MANGLED_EM_DASH), F.lit(""))
     text = F.translate(text, "\n\t", "")
-    text = _remove(text, BRACKETED, HASHTAG, HANDLE, DASHES, url_pattern(domains))
+    text = remove_urls(_remove(text, BRACKETED, HASHTAG, HANDLE, DASHES), domains)
     return strip(F.regexp_replace(text, f"{MANGLED_SINGLE_QUOTES}|{MANGLED_DOUBLE_QUOTES}", "'"))
 
 
@@ -148,13 +172,13 @@ def clean_tweet(text: Column, domains: list[str] | None = None, fix_unicode: boo
     """Cleaned tweet text, NULL when nothing is left."""
     text = unescape(text)
     text = _real_quotes(text) if fix_unicode else text
-    return F.nullif(_clean_marks(text, domains), F.lit(""))
+    return _once(_clean_marks(text, domains), lambda t: F.when(t != "", t))
 
 
 def clean_claim(text: Column, domains: list[str] | None = None, fix_unicode: bool = False) -> Column:
     """Cleaned claim text; the first and last characters, its quotation marks, are dropped."""
     text = F.replace(strip(text), F.lit("\u00a0"), F.lit(" "))
-    text = F.substring(text, F.lit(2), F.greatest(F.length(text) - 2, F.lit(0)))
+    text = F.regexp_replace(text, r"(?s)\A.|.\z", "")
     text = _real_quotes(text) if fix_unicode else text
     return _clean_marks(text, domains)
 

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 from datetime import datetime, timedelta
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,22 +79,38 @@ def step(thread: OpenThread, tweet_id: int, ts: datetime, text: str, piece: str,
 
 
 def _fold(latency: timedelta, young: datetime, compat: bool):
-    """Stream rows sorted by (author, segment, id) through one open thread at a time."""
+    """Stream rows sorted by (author, seg, tweet_id) through one open thread at a time.
+
+    A segment that is one finished message is passed on as a column; only the others are stepped through.
+    """
+
+    def step_through(rows: pd.DataFrame, key: tuple, thread: OpenThread, stopped: bool):
+        out = []
+        columns = ["author", "seg", "tweet_id", "ts", "text", "piece", "more"]
+        for author, seg, tweet_id, ts, text, piece, more in rows[columns].itertuples(index=False, name=None):
+            if (author, seg) != key:
+                key, thread, stopped = (author, seg), OpenThread(compat), False
+            if stopped:
+                continue
+            before = thread.start
+            out += [(author, *row, None) for row in step(thread, tweet_id, ts, text, piece, more, latency)]
+            if thread.start is not None and thread.start is not before and ts > young:
+                out.append((author, None, None, None, None, None, tweet_id))
+                stopped = True
+        return out, key, thread, stopped
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, thread, stopped = None, OpenThread(compat), False
         for batch in batches:
-            out = []
-            for author, seg, tweet_id, ts, text, piece, more in batch.itertuples(index=False, name=None):
-                if (author, seg) != key:
-                    key, thread, stopped = (author, seg), OpenThread(compat), False
-                if stopped:
-                    continue
-                before = thread.start
-                out += [(author, *row, None) for row in step(thread, tweet_id, ts, text, piece, more, latency)]
-                if thread.start is not None and thread.start is not before and ts > young:
-                    out.append((author, None, None, None, None, None, tweet_id))
-                    stopped = True
+            alone = (batch["size"] == 1) & (batch["more"] == 0)
+            one = batch[alone]
+            yield pd.DataFrame(
+                {
+                    "author": one["author"], "end_id": one["tweet_id"], "last_id": one["tweet_id"],
+                    "text": one["text"], "t_start": one["ts"], "t_end": one["ts"], "stop_id": None,
+                }
+            )
+            out, key, thread, stopped = step_through(batch[~alone], key, thread, stopped)
             yield pd.DataFrame(out, columns=_FOLDED.names)
 
     return run
@@ -137,25 +153,17 @@ def build_threads(
     blank of joined text, and the first id and time on threads closed by age.
     """
     latency = timedelta(seconds=latency_seconds)
-    segments = with_segments(own_messages(tweets), buckets)
-    by_segment = Window.partitionBy("author", "seg")
-    sized = segments.withColumn("rows", F.count(F.lit(1)).over(by_segment))
-
-    single = sized.where((F.col("rows") == 1) & (F.col("more") == 0)).select(
-        "author",
-        F.col("tweet_id").alias("end_id"),
-        F.col("tweet_id").alias("last_id"),
-        "text",
-        F.col("ts").alias("t_start"),
-        F.col("ts").alias("t_end"),
-        F.lit(None).cast("bigint").alias("stop_id"),
-    )
-    several = sized.where((F.col("rows") > 1) | (F.col("more") == 1))
-    ordered = several.repartition("author", "seg").sortWithinPartitions("author", "seg", "tweet_id")
-    folded = ordered.select("author", "seg", "tweet_id", "ts", "text", "piece", "more").mapInPandas(
-        _fold(latency, now - latency, compat), _FOLDED
+    young = now - latency
+    by_segment = Window.partitionBy("author", "seg").orderBy("tweet_id")
+    whole = by_segment.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    sized = (
+        with_segments(own_messages(tweets), buckets)
+        .withColumns({"size": F.count(F.lit(1)).over(whole), "newest": F.max("ts").over(whole)})
+        .select("author", "seg", "tweet_id", "ts", "text", "piece", "more", "size", "newest")
+        .sortWithinPartitions("author", "seg", "tweet_id")  # the order the window leaves; costs nothing
     )
-    finished = single.unionByName(folded).withColumn("is_rt", F.lit(False))
+    fold = _fold(latency, young, compat)
+    finished = sized.mapInPandas(fold, _FOLDED).where(F.col("end_id").isNotNull()).withColumn("is_rt", F.lit(False))
     reposts = tweets.where(F.col("is_rt")).select(
         "author",
         F.col("tweet_id").alias("end_id"),
@@ -166,7 +174,9 @@ def build_threads(
         F.lit(None).cast("bigint").alias("stop_id"),
         "is_rt",
     )
-    stops = folded.groupBy("author").agg(F.min("stop_id").alias("author_stop")).where("author_stop is not null")
-    rows = finished.unionByName(reposts).where(F.col("end_id").isNotNull()).join(stops, "author", "left")
+    # only segments that reach into the last ``latency`` seconds can hold back anything
+    recent = sized.where(F.col("newest") > F.lit(young).cast("timestamp")).mapInPandas(fold, _FOLDED)
+    stops = recent.groupBy("author").agg(F.min("stop_id").alias("author_stop")).where("author_stop is not null")
+    rows = finished.unionByName(reposts).join(stops, "author", "left")
     before_stop = F.col("author_stop").isNull() | (F.col("last_id") < F.col("author_stop"))
     return rows.where(before_stop).select("author", "end_id", "text", "t_start", "t_end", "is_rt")

@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _table(ddl: str) -> T.StructType:
-    """Schema from a DDL string; ``!`` marks columns that must not be NULL."""
+_TYPES = {
+    "int": T.IntegerType(), "bigint": T.LongType(), "string": T.StringType(), "date": T.DateType(),
+    "timestamp": T.TimestampType(), "decimal(5,2)": T.DecimalType(5, 2), "decimal(5,4)": T.DecimalType(5, 4),
+    "decimal(22,15)": T.DecimalType(22, 15),
+}
+
+
+def _table(columns: str) -> T.StructType:
+    """Schema from "name type" pairs; ``!`` marks columns that must not be NULL."""
     fields = []
-    for part in ddl.split("; "):
-        name, kind = part.split()
-        field_type = T.StructType.fromDDL(f"c {kind.rstrip('!')}")["c"].dataType
-        fields.append(T.StructField(name, field_type, not kind.endswith("!")))
+    for column in columns.split("; "):
+        name, kind = column.split()
+        fields.append(T.StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!")))
     return T.StructType(fields)
 
 

@@ -128,8 +128,8 @@ class _Page(HTMLParser):
         element = found[step.index]
         if field.take == "text":
             return element.text()
-        following = (e for e in self.elements[element.place + 1 :] if e.tag == field.next_tag)
-        return next((e.attrs.get(field.attribute) for e in following), None)
+        later = (self.elements[i] for i in range(element.place + 1, len(self.elements)))
+        return next((e.attrs.get(field.attribute) for e in later if e.tag == field.next_tag), None)
 
 
 def extract(

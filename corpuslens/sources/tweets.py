@@ -20,11 +20,12 @@ def timeline(lines: DataFrame, column: str = "value", domains: list[str] | None
     row = lines.select(F.from_json(column, TIMELINE_SCHEMA).alias("j")).select("j.*")
     is_rt = F.col("retweeted_status").isNotNull()
     raw = F.when(is_rt, F.col("retweeted_status.full_text")).otherwise(F.col("full_text"))
+    text = F.explode(F.array_compact(F.array(clean_tweet(raw, domains))))  # drops the rows without text
     cleaned = row.select(
         F.col("user_id").alias("author"),
         F.col("id").alias("tweet_id"),
-        clean_tweet(raw, domains).alias("text"),
+        text.alias("text"),
         F.col("created_at").alias("ts"),
         is_rt.alias("is_rt"),
-    ).where(F.col("text").isNotNull())
+    )
     return cleaned.withColumns({"more": more_follows(F.col("text")), "cont": continues(F.col("text"))})

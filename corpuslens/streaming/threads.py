@@ -8,7 +8,6 @@ from datetime import timedelta
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from corpuslens.functions.text import drop_leading_dots, drop_trailing_dots
@@ -17,9 +16,8 @@ from corpuslens.operators.threads import OpenThread, step
 _ROW = "struct<tweet_id: bigint, ts: timestamp, text: string, piece: string, more: int, is_rt: boolean>"
 _COLUMNS = ("tweet_id", "ts", "text", "piece", "more", "is_rt")
 _STATE = f"waiting array<{_ROW}>, start timestamp, first_id bigint, last_id bigint, last_ts timestamp, pieces array<string>"
-_OUT = (
-    "author bigint, end_id bigint, text string, t_start timestamp, t_end timestamp, is_rt boolean, late boolean"
-)
+_OUT = "author bigint, end_id bigint, text string, t_start timestamp, t_end timestamp, is_rt boolean, late boolean"
+_OUT_COLUMNS = ("author", "end_id", "text", "t_start", "t_end", "is_rt", "late")
 
 
 def _advance(latency: timedelta, compat: bool):
@@ -59,8 +57,7 @@ def _advance(latency: timedelta, compat: bool):
             state.setTimeoutTimestamp(max(int(min(due).timestamp() * 1000), int(watermark.timestamp() * 1000)) + 1)
         elif state.exists:
             state.remove()
-        names = [f.name for f in T.StructType.fromDDL(_OUT)]
-        yield pd.DataFrame(out, columns=names)
+        yield pd.DataFrame(out, columns=list(_OUT_COLUMNS))
 
     return run
 
