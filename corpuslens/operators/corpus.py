@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpuslens.functions.scores import flag
 from corpuslens.functions.text import composite_id, match_hash
 from corpuslens.plans.ranks import cume_dist, global_rank, smallest_per_group, tile_of_rank
+from corpuslens.plans.skew import lookup_join
 from corpuslens.plans.slices import CONVERGED, newest_dataset
 from corpuslens.session import materialise
 
@@ -233,6 +234,12 @@ def split_by_share(falsehood_rows: DataFrame, train: float = 0.8, val: float = 0
     )
 
 
+def _hashes_in_both(truth_hashes: DataFrame, claims: DataFrame) -> DataFrame:
+    """(h, n_claims) of the texts, ignoring case, that both classes hold; each side is counted first."""
+    per_claim = claims.groupBy(match_hash(F.col("statement_text")).alias("h")).agg(F.count(F.lit(1)).alias("n_claims"))
+    return per_claim.join(truth_hashes.select("h").distinct(), "h")
+
+
 def exact_duplicates(
     statements: DataFrame, tweets: DataFrame, claims: DataFrame, words: tuple[int, int] = WORDS
 ) -> DataFrame:
@@ -249,14 +256,15 @@ def exact_duplicates(
         F.col("thread_id").cast("bigint").alias("sid"),
         match_hash(F.col("statement_text")).alias("h"),
     )
-    per_hash = claims.groupBy(match_hash(F.col("statement_text")).alias("h")).agg(F.count(F.lit(1)).alias("n_claims"))
-    return spoken.unionByName(written).join(per_hash, "h").select("tid", "sid", "n_claims")
+    rows = spoken.unionByName(written)
+    return lookup_join(rows, _hashes_in_both(rows, claims), ["h"], ["tid", "sid"]).select("tid", "sid", "n_claims")
 
 
 def without_exact_duplicates(truth_snapshot: DataFrame, claims: DataFrame) -> DataFrame:
     """The truth snapshot less the texts that are also claims."""
-    claimed = claims.select(match_hash(F.col("statement_text")).alias("h")).distinct()
-    return truth_snapshot.withColumn("h", match_hash(F.col("stext"))).join(claimed, "h", "left_anti").drop("h")
+    hashed = truth_snapshot.withColumn("h", match_hash(F.col("stext")))
+    both = _hashes_in_both(hashed, claims).select("h")
+    return lookup_join(hashed, both, ["h"], ["truth_id"], "left_anti").drop("h")
 
 
 def near_duplicates(candidates: DataFrame, max_dist: float = 0.02) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from corpuslens.functions.scores import confusion_flags
 from corpuslens.functions.text import text_hash, word_count
 from corpuslens.plans.ranks import global_rank
+from corpuslens.plans.skew import lookup_join
 
 BEGINNING_OF_TIME = "1900-01-01"
 
@@ -73,18 +74,16 @@ def with_reject_reason(
     parent row, an existing key, an earlier row of the batch with the same key. Rejected rows
     never displace a good row with the same key.
     """
-    keys = list(keys)
+    keys, order = list(keys), list(order)
     checked = batch.withColumn("__bad", F.coalesce(*rules) if rules else F.lit(None).cast("string"))
     if parent is not None:
         known = parent.select(*parent_keys).distinct().withColumn("__parent", F.lit(True))
-        checked = checked.join(known, list(parent_keys), "left").withColumn(
-            "__bad", F.coalesce("__bad", _has_reason("no_parent", F.col("__parent").isNull()))
-        ).drop("__parent")
+        checked = lookup_join(checked, known, list(parent_keys), order, "left")
+        checked = checked.withColumn("__bad", F.coalesce("__bad", _has_reason("no_parent", F.col("__parent").isNull())))
     place = F.struct(*order)
-    good = checked.where(F.col("__bad").isNull())
-    firsts = good.groupBy(*keys).agg(F.min(place).alias("__first"))
+    firsts = checked.where(F.col("__bad").isNull()).groupBy(*keys).agg(F.min(place).alias("__first"))
     there = target.select(*keys).distinct().withColumn("__there", F.lit(True))
-    marked = checked.join(firsts, keys, "left").join(there, keys, "left")
+    marked = lookup_join(checked, firsts.join(there, keys, "left"), keys, order, "left")
     reason = F.coalesce(
         F.col("__bad"),
         _has_reason("exists", F.col("__there")),

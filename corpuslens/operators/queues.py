@@ -37,7 +37,7 @@ def statements_to_analyse(
     No rows when nothing was analysed yet, as there is then no date to start from.
     """
     analysed = published.select("tid", "sid").unionByName(not_published.select("tid", "sid"))
-    known = analysed.join(statements.select("tid", "sid"), ["tid", "sid"], "left_semi")
+    known = analysed.join(statements.select("tid", "sid"), ["tid", "sid"], "left_semi").select("tid").distinct()
     newest = transcripts.join(known, "tid", "left_semi").agg(F.max("t_date")).scalar()
     recent = transcripts.where(F.col("t_date") >= newest).select("tid")
     open_rows = statements.where(in_words(words=words)).join(recent, "tid", "left_semi")

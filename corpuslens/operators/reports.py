@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslens.functions.scores import confidence, confusion_flags, is_correct, ratio, rounded
@@ -12,6 +10,7 @@ from corpuslens.functions.text import word_count
 from corpuslens.operators.evaluate import SHARES, with_confusion_flags
 from corpuslens.plans.ranks import cut_into_tiles, global_rank, with_span
 from corpuslens.plans.slices import NONTWEET, TWEET, latest_reports, test_rows, week_start
+from corpuslens.session import materialise
 
 _SCORE = ("raw_pred", "label", "prediction")
 
@@ -67,34 +66,61 @@ def confidence_matrix(
     )
 
 
-def _extreme_bucket(rows: DataFrame, k: int, highest: bool) -> DataFrame:
-    """Score groups of the first bucket with the extreme ppv, and which of their rows are in it."""
-    hist = rows.groupBy(*_SCORE).agg(F.count(F.lit(1)).alias("n")).withColumn("confidence", confidence())
-    pieces = cut_into_tiles(with_span(hist, ["confidence", *_SCORE]), k)
-    per_bucket = Window.partitionBy("bucket")
+def _extreme_groups(rows: DataFrame, k: int | Column, sides: tuple[str, ...]) -> DataFrame:
+    """Score groups of each kind's first bucket with the extreme ppv, and which of their rows are in it."""
+    hist = rows.groupBy("stype", *_SCORE).agg(F.count(F.lit(1)).alias("n")).withColumn("confidence", confidence())
+    pieces = cut_into_tiles(with_span(hist, ["confidence", *_SCORE], ["stype"]), k)
+    bucket = Window.partitionBy("stype", "bucket")
+    kind = Window.partitionBy("stype")  # at most 20,002 score groups, some cut in two
     take = F.col("take")
-    b = {name: F.sum(take * c).over(per_bucket) for name, c in confusion_flags().items()}
-    size = F.sum(take).over(per_bucket)
+    b = {name: F.sum(take * c).over(bucket) for name, c in confusion_flags().items()}
+    size = F.sum(take).over(bucket)
     ppr = rounded(ratio(b["tp"] + b["fp"], size), 4)
     measured = pieces.withColumns(
         {
-            "bucket_acc": rounded(ratio(F.sum(take * is_correct()).over(per_bucket), size), 4),
+            "bucket_acc": rounded(ratio(F.sum(take * is_correct()).over(bucket), size), 4),
             "pos_pred_acc": F.coalesce(rounded(ratio(b["tp"], b["tp"] + b["fp"]), 4), F.lit(0.0)),
             "neg_pred_acc": F.coalesce(rounded(ratio(b["tn"], b["tn"] + b["fn"]), 4), F.lit(0.0)),
             "pos_pred_ratio": ppr,
             "neg_pred_ratio": rounded(1 - ppr, 4),
         }
     )
-    ppv = F.col("pos_pred_acc")
-    best = F.min(F.struct((-ppv if highest else ppv).alias("ppv"), "bucket")).over(Window.partitionBy())
+    keys = {"max": -F.col("pos_pred_acc"), "min": F.col("pos_pred_acc")}
+    firsts = {side: F.min(F.struct(keys[side].alias("ppv"), "bucket")).over(kind)["bucket"] for side in sides}
+    measured = measured.withColumns({f"first_{side}": first for side, first in firsts.items()})
+    hits = [F.when(F.col("bucket") == F.col(f"first_{side}"), F.lit(side)) for side in sides]
     low = F.round((F.col("bucket") - 1) * 100.0 / k).cast("int").cast("string")
     high = F.round(F.col("bucket") * 100.0 / k).cast("int").cast("string")
-    return (
-        measured.withColumn("wanted", best["bucket"])
-        .where(F.col("bucket") == F.col("wanted"))
-        .withColumn("conf_percentile", F.concat(low, F.lit("-"), high, F.lit("%")))
-        .drop("wanted", "confidence", "hi", "lo", "total", "bucket")
+    return measured.withColumn("side", F.explode(F.array_compact(F.array(*hits)))).select(
+        "stype", *_SCORE, "side", "n", "take", "take_from",
+        F.concat(low, F.lit("-"), high, F.lit("%")).alias("conf_percentile"),
+        "bucket_acc", "pos_pred_acc", "neg_pred_acc", "pos_pred_ratio", "neg_pred_ratio",
+    )
+
+
+def _extreme_statements(rows: DataFrame, k: int | Column, sides: tuple[str, ...]) -> DataFrame:
+    """Statements of the extreme buckets, tagged by ``stype`` and ``side``."""
+    score, key = ["stype", *_SCORE], ["stype", *_SCORE, "side"]
+    groups = materialise(_extreme_groups(rows, k, sides))
+    edges = F.broadcast(groups.where(F.col("take") < F.col("n")).select(*key, "take_from", "take"))
+    ranked = global_rank(rows.select(*score, "statement_id").join(edges, score), [*key, "statement_id"])
+    starts = F.broadcast(ranked.groupBy(*key).agg(F.min("rn").alias("first_rn")))
+    place = F.col("rn") - F.col("first_rn") + 1
+    inside = (place > F.col("take_from")) & (place <= F.col("take_from") + F.col("take"))
+    ids = ranked.join(starts, key).where(inside).groupBy(*key).agg(
+        F.min("statement_id").alias("low"), F.max("statement_id").alias("high")
     )
+    # at most 20,002 score groups per kind and side, two of them with an id range
+    wanted = F.broadcast(groups.join(F.broadcast(ids), key, "left"))
+    of_bucket = (F.col("take") == F.col("n")) | F.col("statement_id").between(F.col("low"), F.col("high"))
+    found = rows.select(*score, "statement_id", "statement_text").join(wanted, score).where(of_bucket)
+    return with_confusion_flags(found)
+
+
+_STATEMENT = (
+    "bucket_acc", "conf_percentile", "pos_pred_acc", "neg_pred_acc", "pos_pred_ratio", "neg_pred_ratio",
+    "statement_id", "statement_text", "tp", "tn", "fp", "fn",
+)
 
 
 def extreme_ppv(
@@ -102,36 +128,24 @@ def extreme_ppv(
 ) -> DataFrame:
     """Statements of the lowest-numbered bucket with the highest (or lowest) positive predictive value.
 
-    The bucket is found from score counts. Its rows then come by joining those score groups
-    (at most 20,002) to the reports; only a group that a bucket edge runs through, at most
-    two, has its rows ranked by statement id.
+    The bucket is found from score counts. Its rows then come by joining those score groups to the
+    reports; for a group that a bucket edge runs through, at most two, statement ids are ranked to
+    find the range of ids on this side of the edge.
     """
     rows = test_rows(reports, ds_metadata, stype)
-    groups = _extreme_bucket(rows, k, highest)
-    narrow = rows.select(*_SCORE, "statement_id", "statement_text")
-    matched = with_confusion_flags(narrow.join(F.broadcast(groups), list(_SCORE)))  # bounded by DECIMAL(5,4)
-    whole = matched.where(F.col("take") == F.col("n"))
-    edge = matched.where(F.col("take") < F.col("n"))
-    ranked = global_rank(edge, [*_SCORE, "statement_id"])
-    starts = ranked.groupBy(*_SCORE).agg(F.min("rn").alias("first_rn"))
-    place = F.col("rn") - F.col("first_rn") + 1
-    inside = (place > F.col("take_from")) & (place <= F.col("take_from") + F.col("take"))
-    cut = ranked.join(F.broadcast(starts), list(_SCORE)).where(inside).drop("rn", "first_rn")
-    columns = (
-        "bucket_acc", "conf_percentile", "pos_pred_acc", "neg_pred_acc", "pos_pred_ratio", "neg_pred_ratio",
-        "statement_id", "statement_text", "tp", "tn", "fp", "fn",
-    )
-    return whole.unionByName(cut).select(*columns)
+    return _extreme_statements(rows, k, ("max" if highest else "min",)).select(*_STATEMENT)
 
 
-def explained_statements(reports: DataFrame, ds_metadata: DataFrame, per_type: int = 100, seed: int = 2718) -> DataFrame:
+def explained_statements(
+    reports: DataFrame, ds_metadata: DataFrame, per_type: int = 100, seed: int = 2718
+) -> DataFrame:
     """A seeded draw of statements from each of the four extreme buckets, tagged by bucket."""
-    draws = []
-    for side, highest in (("max", True), ("min", False)):
-        for name, stype, k in (("nontweets", NONTWEET, 25), ("tweets", TWEET, 10)):
-            rows = extreme_ppv(reports, ds_metadata, stype, k, highest)
-            code = F.sha1(F.concat_ws("-", F.col("statement_id").cast("string"), F.lit(str(seed))))
-            drawn = rows.orderBy(code, "statement_id").limit(per_type)
-            tagged = drawn.withColumns({"bucket_type": F.lit(f"{side}_ppv_{name}"), "stype": F.lit(stype)})
-            draws.append(tagged)
-    return reduce(DataFrame.unionByName, draws).distinct()
+    k = F.when(F.col("stype") == TWEET, 10).otherwise(25)
+    rows = test_rows(reports, ds_metadata).where(F.col("stype").isin(TWEET, NONTWEET))
+    found = _extreme_statements(rows, k, ("max", "min"))
+    kind = F.when(F.col("stype") == TWEET, "tweets").otherwise("nontweets")
+    tagged = found.withColumn("bucket_type", F.concat("side", F.lit("_ppv_"), kind))
+    code = F.sha1(F.concat_ws("-", F.col("statement_id").cast("string"), F.lit(str(seed))))
+    drawn = F.row_number().over(Window.partitionBy("bucket_type").orderBy(code, "statement_id"))
+    first = tagged.withColumn("place", drawn).where(F.col("place") <= per_type)  # tasks pass on their first rows only
+    return first.select("bucket_type", *_STATEMENT, "stype")

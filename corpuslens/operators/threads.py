@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslens.functions.text import drop_leading_dots, drop_trailing_dots
+from corpuslens.plans.skew import lookup_join
 
 _FOLDED = T.StructType(
     [
@@ -177,6 +178,6 @@ def build_threads(
     # only segments that reach into the last ``latency`` seconds can hold back anything
     recent = sized.where(F.col("newest") > F.lit(young).cast("timestamp")).mapInPandas(fold, _FOLDED)
     stops = recent.groupBy("author").agg(F.min("stop_id").alias("author_stop")).where("author_stop is not null")
-    rows = finished.unionByName(reposts).join(stops, "author", "left")
+    rows = lookup_join(finished.unionByName(reposts), stops, ["author"], ["last_id"], "left")
     before_stop = F.col("author_stop").isNull() | (F.col("last_id") < F.col("author_stop"))
     return rows.where(before_stop).select("author", "end_id", "text", "t_start", "t_end", "is_rt")

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuslens.plans.skew import lookup_join
+
 
 def l2_distance(a: Column, b: Column) -> Column:
     squares = F.zip_with(a, b, lambda x, y: (x.cast("double") - y) * (x.cast("double") - y))
@@ -27,8 +29,10 @@ def _distinct_vectors(df: DataFrame, vector: str, ident: str) -> DataFrame:
 
 def representatives(df: DataFrame, ident: str = "id", vector: str = "vector") -> DataFrame:
     """Each id with the smallest id that has the same vector."""
-    firsts = _distinct_vectors(df, vector, ident).select(F.col("v").alias(vector), F.col("id").alias("representative"))
-    return df.select(ident, vector).join(firsts, vector).select(ident, "representative")
+    shared = _distinct_vectors(df, vector, ident).where(F.col("copies") > 1)
+    firsts = shared.select(F.col("v").alias(vector), F.col("id").alias("representative"))
+    found = lookup_join(df.select(ident, vector), firsts, [vector], [ident], "left")
+    return found.select(ident, F.coalesce("representative", ident).alias("representative"))
 
 
 def close_pairs(

@@ -40,18 +40,22 @@ def cume_dist(df: DataFrame, value: str, within: Sequence[str] = ()) -> DataFram
     return spans.select(*within, value, "n", (F.col("hi") / F.col("total")).alias("c_dist"))
 
 
+def _div(a: Column, b: Column) -> Column:
+    """Whole-number division."""
+    return F.call_function("div", a, b)
+
+
 def last_rank_of_tile(tile: Column, k: Column, total: Column) -> Column:
     """Rank of the last row of an ``ntile`` bucket; the first ``total % k`` buckets get one row more."""
-    per, rest = F.floor(total / k), total % k
-    return tile * per + F.least(tile, rest)
+    return tile * _div(total, k) + F.least(tile, total % k)
 
 
 def tile_of_rank(rank: Column, k: Column, total: Column) -> Column:
     """The ``ntile`` bucket of a 1-based rank."""
-    per, rest = F.floor(total / k), total % k
+    per, rest = _div(total, k), total % k
     long_rows = rest * (per + 1)
-    in_long = F.floor((rank - 1) / (per + 1)) + 1
-    in_short = rest + F.floor((rank - 1 - long_rows) / F.greatest(per, F.lit(1))) + 1
+    in_long = _div(rank - 1, per + 1) + 1
+    in_short = rest + _div(rank - 1 - long_rows, F.greatest(per, F.lit(1))) + 1
     return F.when(rank <= long_rows, in_long).otherwise(in_short)
 
 
