@@ -51,9 +51,9 @@ def _claim_rows(claims: DataFrame) -> DataFrame:
 
 
 def falsehoods(claims: DataFrame, share: tuple[float, float] = FALSE_SHARE) -> DataFrame:
-    """Claims without the shortest and longest, by date and text."""
+    """Claims without the shortest and longest, by date and text; the id splits copies between sort tasks."""
     kept = trim_by_word_count(_claim_rows(claims), share).withColumn("label", F.lit("False"))
-    return kept.select("statement_text", "s_type", "s_date", "label").orderBy("s_date", "statement_text")
+    return kept.orderBy("s_date", "statement_text", "sid").select("statement_text", "s_type", "s_date", "label")
 
 
 def falsehoods_tiny(claims: DataFrame, rows: int = 1000, share: tuple[float, float] = FALSE_SHARE) -> DataFrame:
@@ -95,7 +95,7 @@ def truths(
     """Transcript statements and tweets without the shortest and longest, by date and text."""
     rows = _truth_rows(statements, transcripts, tweets, None, last_claim_date(claims))
     kept = trim_by_word_count(rows, share).withColumn("label", F.lit("True"))
-    return kept.select("statement_text", "s_type", "s_date", "label").orderBy("s_date", "statement_text")
+    return kept.orderBy("s_date", "statement_text", "truth_id").select("statement_text", "s_type", "s_date", "label")
 
 
 def truths_tiny(
@@ -276,7 +276,7 @@ def distance_tiles(candidates: DataFrame, k: int = 100) -> DataFrame:
     """Size and distance range of each of ``k`` equal tiles of the candidate pairs, to choose a threshold."""
     narrow = candidates.select("l2dist", "falsehood_id", "truth_id")
     ranked = global_rank(narrow, ["l2dist", "falsehood_id", "truth_id"])
-    total = ranked.agg(F.count(F.lit(1))).scalar()
+    total = candidates.agg(F.count(F.lit(1))).scalar()
     tile = tile_of_rank(F.col("rn"), F.lit(k), total).cast("int").alias("bucket")
     return ranked.groupBy(tile).agg(
         F.count(F.lit(1)).alias("n"), F.min("l2dist").alias("min_l2dist"), F.max("l2dist").alias("max_l2dist")
@@ -306,11 +306,15 @@ def ground_truth_set(truth_snapshot: DataFrame, claims: DataFrame, words: tuple[
     accepted = claims.where(in_words(words=words))
     span = accepted.agg(F.struct(F.min("s_date").alias("a"), F.max("s_date").alias("b"))).scalar()
     dated = F.col("sdate").between(span["a"].cast("timestamp"), span["b"].cast("timestamp"))
-    true_rows = truth_snapshot.where(dated).select("sdate", "stext", "stype", F.lit("True").alias("label"))
+    true_rows = truth_snapshot.where(dated).select(
+        "sdate", "stext", "stype", F.lit("True").alias("label"), F.col("truth_id").alias("id")
+    )
     false_rows = accepted.select(
         F.col("s_date").cast("timestamp").alias("sdate"),
         F.col("statement_text").alias("stext"),
         is_tweet_source(F.col("source")).alias("stype"),
         F.lit("False").alias("label"),
+        F.col("sid").cast("string").alias("id"),
     )
-    return true_rows.unionByName(false_rows).orderBy("sdate")
+    # the id lets one busy day be sorted by several tasks
+    return true_rows.unionByName(false_rows).orderBy("sdate", "id").select("sdate", "stext", "stype", "label")

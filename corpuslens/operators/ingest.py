@@ -13,6 +13,7 @@ from corpuslens.functions.scores import confusion_flags
 from corpuslens.functions.text import text_hash, word_count
 from corpuslens.plans.ranks import global_rank
 from corpuslens.plans.skew import lookup_join
+from corpuslens.session import materialise
 
 BEGINNING_OF_TIME = "1900-01-01"
 
@@ -188,6 +189,23 @@ def append_keyed(batch: DataFrame, path: str, keys: Sequence[str], order: Sequen
     return added.get["n"]
 
 
+def load_with_rejects(
+    batch: DataFrame, path: str, rejects_path: str, keys: Sequence[str], order: Sequence[str], rules: Sequence[Column] = ()
+) -> tuple[int, int]:
+    """Insert a batch and store the rows that were not inserted with their reason.
+
+    Returns the numbers of rows added and rejected. Unlike ``append_keyed`` nothing is dropped silently.
+    """
+    target = read_or_empty(batch.sparkSession, path, batch.schema)
+    marked = materialise(with_reject_reason(batch, target, keys, order, rules))
+    sizes = [Observation(name) for name in ("accepted", "rejected")]
+    n = F.count(F.lit(1)).alias("n")
+    accepted = marked.where("reject_reason is null").drop("reject_reason").observe(sizes[0], n)
+    accepted.write.mode("append").parquet(path)
+    marked.where("reject_reason is not null").observe(sizes[1], n).write.mode("append").parquet(rejects_path)
+    return sizes[0].get["n"], sizes[1].get["n"]
+
+
 def read_jdbc(
     spark: SparkSession, url: str, query: str, column: str, bounds: tuple[int, int], partitions: int, **options: str
 ) -> DataFrame:

@@ -220,3 +220,26 @@ def test_snapshot_does_not_follow_its_tables(spark, tmp_path):
     kept = ingest.snapshot(spark.read.parquet(path), str(tmp_path / "snap"))
     spark.range(5).write.mode("append").parquet(path)
     assert kept.count() == 3 and spark.read.parquet(path).count() == 8
+
+
+def test_load_with_rejects(spark, tmp_path):
+    columns = "k int, seq int, v string"
+    table, bad = str(tmp_path / "t"), str(tmp_path / "bad")
+    rows = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 3, None)], columns)
+    rules = [F.when(F.col("v").isNull(), F.lit("null:v"))]
+    assert ingest.load_with_rejects(rows, table, bad, ["k"], ["seq"], rules) == (1, 2)
+    assert ingest.load_with_rejects(rows, table, bad, ["k"], ["seq"], rules) == (0, 3)
+    assert [tuple(r) for r in spark.read.parquet(table).collect()] == [(1, 1, "a")]
+    reasons = sorted(r.reject_reason for r in spark.read.parquet(bad).collect())
+    assert reasons == ["duplicate_in_batch", "exists", "exists", "null:v", "null:v"]
+
+
+def test_history_append_is_idempotent(spark, tmp_path):
+    rows = report_rows(spark, [(i % 2, 0.1 + 0.02 * (i % 40)) for i in range(200)])
+    both = rows.unionByName(rows.withColumn("stype", F.lit(1)).withColumn("statement_id", F.col("statement_id") + 1000))
+    history = evaluate.local_perf_summary(both, dataset(spark))
+    path, key = str(tmp_path / "history"), KEYS["local_model_perf_summary_hist"]
+    assert ingest.append_keyed(history, path, key, key) == 35
+    assert ingest.append_keyed(history, path, key, key) == 0
+    one_row = evaluate.global_perf_summary(both, dataset(spark))
+    assert set(one_row.columns) == {f.name for f in TABLES["model_metadata"]}
