@@ -38,8 +38,8 @@ EXTRA_DOMAINS = "ac an cs dd eu ja su tp uk yu".split()
 
 
 def word_count(text: Column) -> Column:
-    """Number of blanks plus one."""
-    return (F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1).cast("int")
+    """Number of blanks plus one; counted in bytes, which needs no decoding and differs by blanks only."""
+    return (F.octet_length(text) - F.octet_length(F.replace(text, F.lit(" "), F.lit(""))) + 1).cast("int")
 
 
 def strip(text: Column) -> Column:

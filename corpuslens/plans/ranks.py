@@ -45,13 +45,8 @@ def _div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
-def last_rank_of_tile(tile: Column, k: Column, total: Column) -> Column:
-    """Rank of the last row of an ``ntile`` bucket; the first ``total % k`` buckets get one row more."""
-    return tile * _div(total, k) + F.least(tile, total % k)
-
-
 def tile_of_rank(rank: Column, k: Column, total: Column) -> Column:
-    """The ``ntile`` bucket of a 1-based rank."""
+    """The ``ntile`` bucket of a 1-based rank; the first ``total % k`` buckets get one row more."""
     per, rest = _div(total, k), total % k
     long_rows = rest * (per + 1)
     in_long = _div(rank - 1, per + 1) + 1
@@ -61,14 +56,19 @@ def tile_of_rank(rank: Column, k: Column, total: Column) -> Column:
 
 def cut_into_tiles(spans: DataFrame, k: int | Column) -> DataFrame:
     """Split histogram spans at bucket edges: one row per (span, bucket) with ``take`` rows in it."""
-    tiles = F.lit(k) if isinstance(k, int) else k
-    total = F.col("total")
-    first = tile_of_rank(F.col("lo") + 1, tiles, total)
-    last = tile_of_rank(F.col("hi"), tiles, total)
-    pieces = spans.withColumn("bucket", F.explode(F.sequence(first, last)))
-    upto = F.least(F.col("hi"), last_rank_of_tile(F.col("bucket"), tiles, total))
-    after = F.greatest(F.col("lo"), last_rank_of_tile(F.col("bucket") - 1, tiles, total))
-    return pieces.withColumns({"take_from": after - F.col("lo"), "take": upto - after})
+    sized = spans.withColumn("__k", F.lit(k) if isinstance(k, int) else k)
+    k, total = F.col("__k"), F.col("total")
+    first, last = tile_of_rank(F.col("lo") + 1, k, total), tile_of_rank(F.col("hi"), k, total)
+    pieces = sized.withColumns(
+        {"__per": _div(total, k), "__rest": total % k, "bucket": F.explode(F.sequence(first, last))}
+    )
+
+    def last_rank(tile: Column) -> Column:
+        return tile * F.col("__per") + F.least(tile, F.col("__rest"))
+
+    upto = F.least(F.col("hi"), last_rank(F.col("bucket")))
+    after = F.greatest(F.col("lo"), last_rank(F.col("bucket") - 1))
+    return pieces.withColumns({"take_from": after - F.col("lo"), "take": upto - after}).drop("__k", "__per", "__rest")
 
 
 def global_rank(df: DataFrame, order: Sequence[str], out: str = "rn") -> DataFrame:

@@ -17,6 +17,7 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",  # a stack walk per column expression
         **conf,
     }
     for key, value in settings.items():
