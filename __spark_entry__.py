@@ -14,6 +14,7 @@ from corpuslens.operators import corpus, distributions, evaluate, feedback, inge
 from corpuslens.plans.slices import NONTWEET, TWEET
 from corpuslens.schemas import LENGTHS, TABLES
 from corpuslens.sources import claims, transcripts, tweets
+from corpuslens.sources.html import Field, Step, extract
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -245,6 +246,11 @@ def _sources() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
         found = claims.claims(i.claim_pages)
         return found.groupBy("s_date", "pinnochios", "repeats").agg(F.count(F.lit(1)).alias("n"))
 
+    def headings(i):
+        """The raw test pages, which have a layout of their own."""
+        found = extract(i.pages, Step("article"), [Field("heading", (Step("h1"),)), Field("paragraphs", (Step("p"),), "count")])
+        return found.select("page_id", F.inline("rows"))
+
     return {
         "s01_transcript_index": (lambda i: transcripts.transcript_index(i.index_pages, INDEX_URL), oracle.INDEX),
         "s02_transcript_statements": (
@@ -252,6 +258,7 @@ def _sources() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
         "s03_claims": (lambda i: claims.claims(i.claim_pages), None),
         "s03_claim_counts": (claim_counts, oracle.CLAIM_COUNTS),
         "s03_claim_rejects": (lambda i: claims.claim_rejects(i.claim_pages), oracle.CLAIM_REJECTS),
+        "s03_page_headings": (headings, oracle.PAGE_HEADINGS),
         "s04_page_totals": (lambda i: claims.page_totals(i.claim_pages), oracle.PAGE_TOTALS),
         "s04_page_last_dates": (lambda i: claims.page_last_dates(i.claim_pages), oracle.PAGE_LAST_DATES),
         "s05_timeline": (lambda i: tweets.timeline(i.timeline_lines), oracle.TIMELINE),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpuslens.functions.scores import confidence, confusion_flags, is_correct, ratio, rounded
 from corpuslens.functions.text import word_count
 from corpuslens.operators.evaluate import SHARES, with_confusion_flags
-from corpuslens.plans.ranks import cut_into_tiles, global_rank, with_span
+from corpuslens.plans.ranks import cut_into_tiles, global_rank, with_nested_span, with_span
 from corpuslens.plans.slices import NONTWEET, TWEET, latest_reports, test_rows, week_start
 from corpuslens.session import materialise
 
@@ -43,7 +43,8 @@ def confidence_matrix(
     """
     wc = word_count(F.col("statement_text")).alias("wc")
     hist = test_rows(reports, ds_metadata, stype).groupBy(*_SCORE, wc).agg(F.count(F.lit(1)).alias("n"))
-    spans = with_span(hist.withColumn("confidence", confidence()), ["confidence", *_SCORE, "wc"])
+    # at most 20,002 scores; each may occur with many word counts
+    spans = with_nested_span(hist.withColumn("confidence", confidence()), ["confidence", *_SCORE], ["wc"])
     pieces = cut_into_tiles(spans, k)
     take = F.col("take")
     sums = pieces.groupBy(F.col("bucket").cast("int").alias("confidence_bucket")).agg(

@@ -13,22 +13,15 @@ from datetime import datetime, timedelta
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpuslens.functions.text import drop_leading_dots, drop_trailing_dots
 from corpuslens.plans.skew import lookup_join
 
-_FOLDED = T.StructType(
-    [
-        T.StructField("author", T.LongType()),
-        T.StructField("end_id", T.LongType()),
-        T.StructField("last_id", T.LongType()),
-        T.StructField("text", T.StringType()),
-        T.StructField("t_start", T.TimestampType()),
-        T.StructField("t_end", T.TimestampType()),
-        T.StructField("stop_id", T.LongType()),
-    ]
+# times are microseconds since 1970 while rows are in Python
+_FOLDED = (
+    "author bigint, end_id bigint, last_id bigint, text string, t_start bigint, t_end bigint, stop_id bigint"
 )
+_FOLDED_COLUMNS = ["author", "end_id", "last_id", "text", "t_start", "t_end", "stop_id"]
 
 
 class OpenThread:
@@ -39,11 +32,11 @@ class OpenThread:
         self.pieces: list[str] = []
         self.start = self.first_id = self.last_id = self.last_ts = None
 
-    def open(self, tweet_id: int, ts: datetime, piece: str) -> None:
+    def open(self, tweet_id: int, ts, piece: str) -> None:
         self.start, self.first_id, self.pieces = ts, tweet_id, []
         self.append(tweet_id, ts, piece)
 
-    def append(self, tweet_id: int, ts: datetime, piece: str) -> None:
+    def append(self, tweet_id: int, ts, piece: str) -> None:
         self.last_id, self.last_ts = tweet_id, ts
         self.pieces.append(piece)
 
@@ -64,8 +57,11 @@ class OpenThread:
         return row
 
 
-def step(thread: OpenThread, tweet_id: int, ts: datetime, text: str, piece: str, more: int, latency: timedelta) -> list[tuple]:
-    """Feed one own message; returns the finished rows (end_id, last_id, text, t_start, t_end)."""
+def step(thread: OpenThread, tweet_id: int, ts, text: str, piece: str, more: int, latency) -> list[tuple]:
+    """Feed one own message; returns the finished rows (end_id, last_id, text, t_start, t_end).
+
+    ``ts`` and ``latency`` may be numbers, or a timestamp and a duration.
+    """
     done = []
     if thread.start is not None:
         if ts - thread.start < latency:
@@ -79,26 +75,12 @@ def step(thread: OpenThread, tweet_id: int, ts: datetime, text: str, piece: str,
     return done
 
 
-def _fold(latency: timedelta, young: datetime, compat: bool):
+def _fold(latency: int, young: int, compat: bool):
     """Stream rows sorted by (author, seg, tweet_id) through one open thread at a time.
 
     A segment that is one finished message is passed on as a column; only the others are stepped through.
     """
-
-    def step_through(rows: pd.DataFrame, key: tuple, thread: OpenThread, stopped: bool):
-        out = []
-        columns = ["author", "seg", "tweet_id", "ts", "text", "piece", "more"]
-        for author, seg, tweet_id, ts, text, piece, more in rows[columns].itertuples(index=False, name=None):
-            if (author, seg) != key:
-                key, thread, stopped = (author, seg), OpenThread(compat), False
-            if stopped:
-                continue
-            before = thread.start
-            out += [(author, *row, None) for row in step(thread, tweet_id, ts, text, piece, more, latency)]
-            if thread.start is not None and thread.start is not before and ts > young:
-                out.append((author, None, None, None, None, None, tweet_id))
-                stopped = True
-        return out, key, thread, stopped
+    columns = ["author", "seg", "tweet_id", "ts", "text", "piece", "more"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, thread, stopped = None, OpenThread(compat), False
@@ -111,8 +93,19 @@ def _fold(latency: timedelta, young: datetime, compat: bool):
                     "text": one["text"], "t_start": one["ts"], "t_end": one["ts"], "stop_id": None,
                 }
             )
-            out, key, thread, stopped = step_through(batch[~alone], key, thread, stopped)
-            yield pd.DataFrame(out, columns=_FOLDED.names)
+            out, rest = [], batch[~alone]
+            for author, seg, tweet_id, ts, text, piece, more in zip(*(rest[c].tolist() for c in columns)):
+                if (author, seg) != key:
+                    key, thread, stopped = (author, seg), OpenThread(compat), False
+                if stopped:
+                    continue
+                before = thread.first_id if thread.start is not None else None
+                out += [(author, *row, None) for row in step(thread, tweet_id, ts, text, piece, more, latency)]
+                opened = thread.start is not None and thread.first_id != before
+                if opened and ts > young:
+                    out.append((author, None, None, None, None, None, tweet_id))
+                    stopped = True
+            yield pd.DataFrame(out, columns=_FOLDED_COLUMNS, dtype=object)
 
     return run
 
@@ -149,22 +142,29 @@ def build_threads(
 ) -> DataFrame:
     """(author, end_id, text, t_start, t_end, is_rt) of finished threads and single messages.
 
+    ``now`` is in UTC, without a zone.
+
     A message that would open a thread younger than ``latency`` at ``now`` holds back itself and all
     later messages of its author. ``compat=False`` drops two quirks kept by default: the leading
     blank of joined text, and the first id and time on threads closed by age.
     """
-    latency = timedelta(seconds=latency_seconds)
-    young = now - latency
+    latency = latency_seconds * 1_000_000
+    young = (now - datetime(1970, 1, 1)) // timedelta(microseconds=1) - latency
     by_segment = Window.partitionBy("author", "seg").orderBy("tweet_id")
     whole = by_segment.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     sized = (
-        with_segments(own_messages(tweets), buckets)
+        with_segments(own_messages(tweets).withColumn("ts", F.unix_micros("ts")), buckets)
         .withColumns({"size": F.count(F.lit(1)).over(whole), "newest": F.max("ts").over(whole)})
         .select("author", "seg", "tweet_id", "ts", "text", "piece", "more", "size", "newest")
         .sortWithinPartitions("author", "seg", "tweet_id")  # the order the window leaves; costs nothing
     )
     fold = _fold(latency, young, compat)
-    finished = sized.mapInPandas(fold, _FOLDED).where(F.col("end_id").isNotNull()).withColumn("is_rt", F.lit(False))
+    finished = (
+        sized.mapInPandas(fold, _FOLDED)
+        .where(F.col("end_id").isNotNull())
+        .withColumns({"t_start": F.timestamp_micros("t_start"), "t_end": F.timestamp_micros("t_end")})
+        .withColumn("is_rt", F.lit(False))
+    )
     reposts = tweets.where(F.col("is_rt")).select(
         "author",
         F.col("tweet_id").alias("end_id"),
@@ -176,7 +176,7 @@ def build_threads(
         "is_rt",
     )
     # only segments that reach into the last ``latency`` seconds can hold back anything
-    recent = sized.where(F.col("newest") > F.lit(young).cast("timestamp")).mapInPandas(fold, _FOLDED)
+    recent = sized.where(F.col("newest") > young).mapInPandas(fold, _FOLDED)
     stops = recent.groupBy("author").agg(F.min("stop_id").alias("author_stop")).where("author_stop is not null")
     rows = lookup_join(finished.unionByName(reposts), stops, ["author"], ["last_id"], "left")
     before_stop = F.col("author_stop").isNull() | (F.col("last_id") < F.col("author_stop"))

@@ -507,6 +507,11 @@ CLAIM_COUNTS = f"""select cast(date '2018-01-01' + cast(i * 7 % 700 as int) as d
       cast(case when i % 3 = 1 then i else 0 end as int) repeats, count(*) n
     from ({LINES}) l where i % 5 <> 4 group by 1, 2, 3"""
 CLAIM_REJECTS = f"select doc_id page_id, cast(i as int) pos, 'no_date' reject_reason from ({LINES}) l where i % 5 = 4"
+ARTICLE = "regexp_extract(html, '<article>(.*)</article>', 1, 's')"
+PAGE_HEADINGS = f"""select page_id, replace(replace(replace(regexp_extract({ARTICLE}, '<h1>(.*?)</h1>', 1, 's'),
+        '&lt;', '<'), '&gt;', '>'), '&amp;', '&') heading,
+      cast(len(regexp_extract_all({ARTICLE}, '<p>')) as varchar) paragraphs
+    from pages where html like '%<article>%</article>%'"""
 PAGE_TOTALS = "select doc_id page_id, cast(1000 + doc_id % 100 as int) total_claims from documents"
 PAGE_LAST_DATES = f"""select doc_id page_id, case when max(i) % 5 = 4 then null
       else cast(date '2018-01-01' + cast(max(i) * 7 % 700 as int) as date) end last_date from ({LINES}) l group by doc_id"""

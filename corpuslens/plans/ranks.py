@@ -33,6 +33,18 @@ def with_span(hist: DataFrame, order: Sequence[str], within: Sequence[str] = (),
     ).withColumn("lo", F.col("hi") - F.col(n))
 
 
+def with_nested_span(hist: DataFrame, coarse: Sequence[str], fine: Sequence[str], n: str = "n") -> DataFrame:
+    """``with_span`` by (coarse, fine) for a large histogram whose coarse part alone is small.
+
+    Only one row per coarse key is summed up in one task and broadcast; the rest runs per coarse key.
+    """
+    sums = hist.groupBy(*coarse).agg(F.sum(n).alias("n"))
+    starts = with_span(sums, coarse).select(*coarse, F.col("lo").alias("__start"), "total")
+    inner = Window.partitionBy(*coarse).orderBy(*fine).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = hist.join(F.broadcast(starts), list(coarse)).withColumn("hi", F.col("__start") + F.sum(n).over(inner))
+    return placed.withColumn("lo", F.col("hi") - F.col(n)).drop("__start")
+
+
 def cume_dist(df: DataFrame, value: str, within: Sequence[str] = ()) -> DataFrame:
     """One row per distinct value with its count ``n`` and cumulative share ``c_dist``."""
     hist = df.groupBy(*within, value).agg(F.count(F.lit(1)).alias("n"))
