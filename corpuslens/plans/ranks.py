@@ -12,6 +12,7 @@ Three forms, by what is known about the order key:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +38,9 @@ def with_nested_span(hist: DataFrame, coarse: Sequence[str], fine: Sequence[str]
     """``with_span`` by (coarse, fine) for a large histogram whose coarse part alone is small.
 
     Only one row per coarse key is summed up in one task and broadcast; the rest runs per coarse key.
+    Coarse keys are never NULL; saying so gives both uses of the histogram one plan, computed once.
     """
+    hist = reduce(lambda df, c: df.where(F.col(c).isNotNull()), coarse, hist)
     sums = hist.groupBy(*coarse).agg(F.sum(n).alias("n"))
     starts = with_span(sums, coarse).select(*coarse, F.col("lo").alias("__start"), "total")
     inner = Window.partitionBy(*coarse).orderBy(*fine).rowsBetween(Window.unboundedPreceding, Window.currentRow)
