@@ -473,7 +473,7 @@ SPLIT_ROWS = " union all ".join(
 SPLIT_CTES = {**MATCHED, "sr": SPLIT_ROWS}
 SPLIT_COUNTS = with_tables("select split, class, wc, count(*) n from {sr} group by split, class, wc", **SPLIT_CTES)
 SPLIT_SUMMARY = with_tables(f"select split, class, {QUARTILES} from {{sr}} group by split, class", **SPLIT_CTES)
-CLASS_GAP = f"""select split, round(sum(abs(t / tt - f / ft)) / 2, 9) gap from (
+CLASS_GAP = f"""select split, round(sum(abs(t / nullif(tt, 0) - f / nullif(ft, 0))) / 2, 9) gap from (
       select *, sum(t) over (partition by split) tt, sum(f) over (partition by split) ft from (
         select split, wc, cast(sum(case when class = 'truths' then n else 0 end) as double) t,
           cast(sum(case when class = 'falsehoods' then n else 0 end) as double) f from ({SPLIT_COUNTS}) c group by split, wc) a) b
