@@ -17,7 +17,7 @@ def l2_distance(a: Column, b: Column) -> Column:
 
 
 def _projection(vector: Column, direction: list[float]) -> Column:
-    weights = F.array(*[F.lit(w) for w in direction])
+    weights = F.expr("array(" + ", ".join(f"{w!r}D" for w in direction) + ")")
     parts = F.zip_with(vector, weights, lambda x, w: x * w)
     return F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x)
 

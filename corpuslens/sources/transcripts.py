@@ -31,7 +31,7 @@ def transcript_index(pages: DataFrame, base_url: str, column: str = "value") ->
     text = F.variant_get(score, "$", "string")
     return entry.where(_is_truthy(score) & (text != UNSCORED)).select(
         F.col("e.id").alias("tid"),
-        F.to_date("e.date").alias("t_date"),
+        F.col("e.date").try_cast("date").alias("t_date"),
         F.col("e.type").alias("transcript_type"),
         F.concat(F.lit(base_url), F.col("e.slug")).alias("transcript_url"),
         text.try_cast("decimal(5,2)").alias("transcript_sent"),

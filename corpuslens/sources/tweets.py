@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.functions.text import clean_tweet, continues, more_follows
 
 TIMELINE_SCHEMA = (
-    "id bigint, user_id bigint, created_at timestamp, full_text string, retweeted_status struct<full_text string>"
+    "id bigint, user_id bigint, created_at string, full_text string, retweeted_status struct<full_text string>"
 )
 
+API_TIME = "MMM dd HH:mm:ss Z yyyy"  # after the weekday, as in "Wed Oct 10 20:19:24 +0000 2018"
+
+
+def _timestamp(text: Column) -> Column:
+    """ISO times, or the interface's own form; NULL for anything else."""
+    return F.coalesce(text.try_cast("timestamp"), F.try_to_timestamp(F.substring(text, 5, 100), F.lit(API_TIME)))
+
 
 def timeline(lines: DataFrame, column: str = "value", domains: list[str] | None = None) -> DataFrame:
     """(author, tweet_id, text, ts, is_rt, more, cont) of messages with text left after cleaning.
@@ -25,7 +32,7 @@ def timeline(lines: DataFrame, column: str = "value", domains: list[str] | None
         F.col("user_id").alias("author"),
         F.col("id").alias("tweet_id"),
         text.alias("text"),
-        F.col("created_at").alias("ts"),
+        _timestamp(F.col("created_at")).alias("ts"),
         is_rt.alias("is_rt"),
     )
     return cleaned.withColumns({"more": more_follows(F.col("text")), "cont": continues(F.col("text"))})

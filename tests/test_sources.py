@@ -117,6 +117,13 @@ def test_timeline(spark):
     ]
 
 
+def test_message_times(spark):
+    times = ["2018-10-10T20:19:24Z", "Wed Oct 10 20:19:24 +0000 2018", "Wed Oct 10 22:19:24 +0200 2018", "soon"]
+    lines = [(json.dumps({"id": i, "user_id": 1, "created_at": t, "full_text": "x"}),) for i, t in enumerate(times)]
+    rows = tweets.timeline(spark.createDataFrame(lines, "value string")).orderBy("tweet_id").collect()
+    assert [r.ts for r in rows] == [datetime.datetime(2018, 10, 10, 20, 19, 24)] * 3 + [None]
+
+
 def test_split_dates(spark, tmp_path):
     names = [f"{p}_{e}_date" for p in ("train", "val", "test") for e in ("start", "end")]
     path = tmp_path / "meta.json"
