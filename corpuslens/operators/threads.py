@@ -178,6 +178,6 @@ def build_threads(
     # only segments that reach into the last ``latency`` seconds can hold back anything
     recent = sized.where(F.col("newest") > young).mapInPandas(fold, _FOLDED)
     stops = recent.groupBy("author").agg(F.min("stop_id").alias("author_stop")).where("author_stop is not null")
-    rows = lookup_join(finished.unionByName(reposts), stops, ["author"], ["last_id"], "left")
+    rows = lookup_join(finished.unionByName(reposts), stops, ["author"], ["last_id"], "left", count_on=tweets)
     before_stop = F.col("author_stop").isNull() | (F.col("last_id") < F.col("author_stop"))
     return rows.where(before_stop).select("author", "end_id", "text", "t_start", "t_end", "is_rt")

@@ -3,20 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+HOT_SHARE = 1000  # a key is hot above 1/1000 of all rows, so there are fewer than 1000 of them
+
 
 def lookup_join(
-    df: DataFrame, lookup: DataFrame, keys: Sequence[str], spread_by: Sequence[str], how: str = "inner", salts: int = 16
+    df: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    spread_by: Sequence[str],
+    how: str = "inner",
+    count_on: DataFrame | None = None,
+    salts: int = 1024,
+    min_rows: int = 100_000,
 ) -> DataFrame:
     """Join ``df``, where one key may hold much of the data, to ``lookup``, which has one row per key.
 
-    AQE does not split a hot key when the other side is already aggregated on that key, so rows are
-    spread over ``salts`` copies of the lookup row. The salt comes from columns of the row
-    (``spread_by``), so a task that is run again sends its rows to the same places.
+    AQE does not split a hot key when the other side is already aggregated on that key. So keys are
+    counted first (in ``count_on`` if ``df`` is costly); rows of hot keys are spread over ``salts``
+    copies of their lookup row, and so are rows with a NULL key, which match nothing. The salt comes
+    from columns of the row (``spread_by``), so a task that is run again sends its rows to the same places.
     """
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
-    copies = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-    return salted.join(copies, [*keys, "__salt"], how).drop("__salt")
+    keys = list(keys)
+    counted = df if count_on is None else count_on
+    total = counted.agg(F.count(F.lit(1))).scalar()
+    sizes = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    is_hot = (F.col("__n") >= min_rows) & (F.col("__n") * HOT_SHARE > total)
+    hot = F.broadcast(sizes.where(is_hot).select(*keys, F.lit(True).alias("__hot")))
+
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts))
+    none = F.lit(0).cast("bigint")
+    salted = df.join(hot, keys, "left").withColumn("__salt", F.when(F.col("__hot") | no_key, spread).otherwise(none))
+    all_salts = F.sequence(none, F.lit(salts - 1).cast("bigint"))
+    copies = lookup.join(hot, keys, "left").withColumn(
+        "__salt", F.explode(F.when(F.col("__hot"), all_salts).otherwise(F.array(none)))
+    )
+    return salted.drop("__hot").join(copies.drop("__hot"), [*keys, "__salt"], how).drop("__salt")

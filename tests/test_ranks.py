@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpuslens.plans import ranks
+from corpuslens.plans.skew import lookup_join
 
 
 @pytest.fixture(scope="module")
@@ -72,3 +73,14 @@ def test_smallest_per_group_with_a_hot_group(spark):
     rn = F.row_number().over(Window.partitionBy("g").orderBy("code", "id"))
     naive = df.withColumn("rn", rn).where("rn <= quota")
     assert sorted(r.id for r in got.collect()) == sorted(r.id for r in naive.collect())
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
+def test_lookup_join_with_hot_and_null_keys(spark, how):
+    rng = random.Random(7)
+    rows = [(i, None if i % 50 == 0 else 1 if rng.random() < 0.4 else rng.randrange(2, 90)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id bigint, k int").repartition(5)
+    lookup = spark.createDataFrame([(k, f"v{k}") for k in range(1, 60)], "k int, v string")
+    got = lookup_join(df, lookup, ["k"], ["id"], how, salts=8, min_rows=100)
+    naive = df.join(lookup, "k", how)
+    assert sorted(map(str, got.select(*naive.columns).collect())) == sorted(map(str, naive.collect()))
