@@ -13,15 +13,18 @@ from corpuslens.fixtures import INDEX_URL, SPEAKER, Inputs
 from corpuslens.operators import corpus, distributions, evaluate, feedback, ingest, queues, reports, threads, vectors
 from corpuslens.plans.slices import NONTWEET, TWEET
 from corpuslens.schemas import LENGTHS, TABLES
+from corpuslens.session import shared_folder
 from corpuslens.sources import claims, transcripts, tweets
 from corpuslens.sources.html import Field, Step, extract
+from corpuslens.streaming.ingest import keyed_sink
+from corpuslens.streaming.threads import thread_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 STYPE = {"all": None, "nontweet": NONTWEET, "tweet": TWEET}
 TILES = {"all": 25, "nontweet": 25, "tweet": 10}
 SCORE_DATE = "2020-06-01 00:00:00"
-THREAD_LATENCY, THREAD_NOW = 6 * 3600, datetime(2024, 1, 30, 12)
+THREAD_LATENCY, THREAD_NOW, THREAD_DELAY = 6 * 3600, datetime(2024, 1, 30, 12), "8 hours"
 
 
 def _evaluation() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
@@ -271,6 +274,29 @@ def _sources() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
     }
 
 
+def _streams() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
+    def finish(writer) -> None:
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+
+    def stream_threads(i):
+        out, state = shared_folder(i.spark, "threads"), shared_folder(i.spark, "threads-state")
+        rows = thread_stream(i.message_stream, THREAD_LATENCY, THREAD_DELAY)
+        finish(rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", state))
+        return i.spark.read.schema(rows.schema).parquet(out)
+
+    def stream_claims(i):
+        out, state = shared_folder(i.spark, "claims"), shared_folder(i.spark, "claims-state")
+        rows = i.stream_of("wp_statements").select("sid", "statement_hash")
+        finish(keyed_sink(rows, out, state, ["statement_hash"], ["sid"]))
+        return i.spark.read.schema(rows.schema).parquet(out)
+
+    return {
+        "s09_stream_append": (stream_claims, oracle.STREAM_APPEND),
+        "w01_thread_stream": (stream_threads, oracle.thread_stream(THREAD_LATENCY, THREAD_DELAY)),
+    }
+
+
 def _loading() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
     def marks(i):
         day, zero = F.lit(ingest.BEGINNING_OF_TIME).cast("date"), F.lit(0).cast("bigint")
@@ -337,7 +363,7 @@ def _loading() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
 
 
 def _all() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
-    found = {**_sources(), **_loading(), **_corpus(), **_evaluation(), **_reports(), **_queues_and_feedback(), **_distributions()}
+    found = {**_sources(), **_streams(), **_loading(), **_corpus(), **_evaluation(), **_reports(), **_queues_and_feedback(), **_distributions()}
     return dict(sorted(found.items()))
 
 

@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuslens.functions.text import clean_tweet, more_follows
 from corpuslens.operators import corpus
 from corpuslens.session import materialise
 from corpuslens.sources.tweets import timeline
@@ -268,6 +269,22 @@ class Inputs:
         """The table of cleaned messages: author, tweet_id, text, ts, is_rt, more."""
         return materialise(timeline(self.timeline_lines))
 
+    def stream_of(self, name: str) -> DataFrame:
+        """A derived table of one test table as a stream of that table's file."""
+        (raw,) = references(SQL[name])
+        files = self.spark.readStream.schema(getattr(self, raw).schema).option("pathGlobFilter", f"{raw}.parquet")
+        source = files.parquet(self.sf_dir)
+        return self.spark.sql(SQL[name], **{raw: source})
+
+    @cached_property
+    def message_stream(self) -> DataFrame:
+        """``messages`` as a stream, with times to the millisecond as in the JSON lines."""
+        raw = self.stream_of("raw_tweets")
+        text, ts = clean_tweet(F.col("full_text")), F.date_trunc("millisecond", "created_at")
+        return raw.select(
+            F.col("user_id").alias("author"), "tweet_id", text.alias("text"), ts.alias("ts"), "is_rt"
+        ).withColumn("more", more_follows(F.col("text")))
+
     @cached_property
     def loaded_messages(self) -> DataFrame:
         """The part of the timeline that an earlier run has loaded."""

@@ -542,6 +542,7 @@ TO_INSERT = with_tables(
     """select sid, statement_hash from (select *, row_number() over (partition by statement_hash order by sid) rn
         from {wp_statements}) w where rn = 1 and statement_hash not in (select statement_hash from {dcbot_tweets})"""
 )
+STREAM_APPEND = with_tables("select min(sid) sid, statement_hash from {wp_statements} group by statement_hash")
 REJECTS = with_tables(
     """select sid, case when length(statement_text) > 2000 then 'too_long:statement_text'
         when statement_hash in (select statement_hash from {dcbot_tweets}) then 'exists'
@@ -576,7 +577,7 @@ CASCADE = with_tables(
 SQL_FRAME = with_tables("select source, count(*) n, max(wc) longest from {wp_statements} group by source")
 
 
-def threads(latency: int, now: str, compat: bool) -> str:
+def _thread_steps(latency: int, now: str, compat: bool, messages: str = TIMELINE) -> str:
     """The sequential rules, one message of every author per step of a recursive query."""
     old = f"timestamp '{now}' - interval {latency} second"
     near = f"(s.t_open is not null and o.ts - s.t_open < interval {latency} second)"
@@ -585,7 +586,7 @@ def threads(latency: int, now: str, compat: bool) -> str:
     goes_on = f"({near} and o.\"more\" = 1)"
     lead = "' ' || " if compat else ""
     x_id, x_end = ("s.first_id", "s.t_open") if compat else ("s.last_id", "s.t_last")
-    return f"""with recursive m as ({TIMELINE}), own as (
+    return f"""with recursive m as ({messages}), own as (
         select author, tweet_id, ts, "more", regexp_replace("text", '^\\.{{2,}}', '') "text",
           regexp_replace(regexp_replace("text", '^\\.{{2,}}', ''), '\\.{{2,}}$', '') piece,
           row_number() over (partition by author order by tweet_id) rn
@@ -608,9 +609,30 @@ def threads(latency: int, now: str, compat: bool) -> str:
           case when {near} then s.txt || ' ' || o.piece else o."text" end,
           case when {near} then s.t_open else o.ts end, o.ts,
           case when {young} then o.tweet_id end
-        from s join own o on o.author = s.author and o.rn = s.rn + 1 where s.stop_id is null)
+        from s join own o on o.author = s.author and o.rn = s.rn + 1 where s.stop_id is null)"""
+
+
+def threads(latency: int, now: str, compat: bool) -> str:
+    return _thread_steps(latency, now, compat) + """
       select author, x_id end_id, x_txt "text", x_start t_start, x_end t_end, false is_rt from s where x_id is not null
       union all select author, d_id, d_txt, d_start, d_end, false from s where d_id is not null
       union all select m.author, tweet_id, "text", ts, ts, true from m
         left join (select author, min(stop_id) stop_id from s group by author) e on e.author = m.author
         where is_rt and (e.stop_id is null or tweet_id < e.stop_id)"""
+
+
+def thread_stream(latency: int, delay: str) -> str:
+    """What a stream has given out once the watermark stands ``delay`` before the last message.
+
+    Messages behind the watermark are taken in order, nothing is held back, and threads of full age are closed.
+    """
+    mark = f"(select max(ts) from ({TIMELINE}) t) - interval '{delay}'"
+    steps = _thread_steps(latency, "2100-01-01 00:00:00", False, f"select * from ({TIMELINE}) t where ts < {mark}")
+    return steps + f"""
+      select author, x_id end_id, x_txt "text", x_start t_start, x_end t_end, false is_rt, false late from s
+        where x_id is not null
+      union all select author, d_id, d_txt, d_start, d_end, false, false from s where d_id is not null
+      union all select author, last_id, txt, t_open, t_last, false, false from
+          (select *, row_number() over (partition by author order by rn desc) back from s) z
+        where back = 1 and t_open + interval {latency} second <= {mark}
+      union all select author, tweet_id, "text", ts, ts, true, false from m where is_rt"""

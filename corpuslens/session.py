@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +40,12 @@ def _checkpoint_folder(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the checkpoint folder, which all executors reach."""
+    _checkpoint_folder(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Fix a frame in reliable storage so later reads of it agree even after lost executors."""
     _checkpoint_folder(df.sparkSession)

@@ -57,7 +57,8 @@ def _advance(latency: timedelta, compat: bool):
             state.setTimeoutTimestamp(max(int(min(due).timestamp() * 1000), int(watermark.timestamp() * 1000)) + 1)
         elif state.exists:
             state.remove()
-        yield pd.DataFrame(out, columns=list(_OUT_COLUMNS))
+        if out:
+            yield pd.DataFrame(out, columns=list(_OUT_COLUMNS))
 
     return run
 
