@@ -223,11 +223,14 @@ class Inputs:
 
     def _page_of_lines(self, block) -> DataFrame:
         """One HTML page per document with one block per line of its text."""
-        escaped = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+        escaped = F.col("text")
+        for mark, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            escaped = F.replace(escaped, F.lit(mark), F.lit(entity))
         blocks = F.array_join(F.transform(F.split(escaped, "\n"), block), "\n")
         head = F.lit("<html><body><h1>Total <span class='franklin-bold red'> 1,0")
         number = F.lpad((F.col("doc_id") % 100).cast("string"), 2, "0")
-        html = F.concat(head, number, F.lit("</span></h1><script>var t='<div class=\"claim-row\">';</script>"), blocks, F.lit("</body></html>"))
+        script = F.lit("</span></h1><script>var t='<div class=\"claim-row\">';</script>")
+        html = F.concat(head, number, script, blocks, F.lit("</body></html>"))
         return self._spread(self.documents).select("doc_id", html.alias("html"))
 
     @cached_property
@@ -243,7 +246,7 @@ class Inputs:
                 F.lit("</div><div class='sentiment-block'><div title='"), score, F.lit("'></div></div></div>"),
             )
 
-        return self._page_of_lines(block).withColumn("doc_id", F.concat(F.lit("doc-"), "doc_id")).withColumnRenamed("doc_id", "tid")
+        return self._page_of_lines(block).select(F.concat(F.lit("doc-"), "doc_id").alias("tid"), "html")
 
     @cached_property
     def claim_pages(self) -> DataFrame:
@@ -253,13 +256,15 @@ class Inputs:
             day = F.date_format(F.date_add(F.lit("2018-01-01").cast("date"), (i * 7 % 700).cast("int")), "MMM d, yyyy")
             date = F.when(i % 5 == 4, "").otherwise(F.concat(F.lit("<div class='dateline'>"), day, F.lit("</div>")))
             kind = F.when(i % 2 == 0, "has-apos").otherwise("no-apos")
-            repeats = F.when(i % 3 == 1, F.concat(F.lit("<span class='repeated-total'>Repeated "), i.cast("string"), F.lit(" times</span>"))).otherwise("")
+            said = F.concat(F.lit("<span class='repeated-total'>Repeated "), i.cast("string"), F.lit(" times</span>"))
+            repeats = F.when(i % 3 == 1, said).otherwise("")
+            details = "<p>Topic: <span>Jobs</span></p><p>Source: <span>Remarks</span></p>"
             marks = F.repeat(F.lit("<span class='pinocchio'></span>"), (i % 5).cast("int"))
             return F.concat(
                 F.lit("<div class='claim-row'>"), date, F.lit("<p class='pg-bodyCopy "), kind, F.lit("'>“"), line,
                 F.lit("”</p><div class='rail left'>"), repeats,
-                F.lit("<div class='details not-expanded'><p>Topic: <span>Jobs</span></p><p>Source: <span>Remarks</span></p></div></div>"
-                      "<div class='pinocchios'>"), marks, F.lit("</div></div>"),
+                F.lit(f"<div class='details not-expanded'>{details}</div></div><div class='pinocchios'>"), marks,
+                F.lit("</div></div>"),
             )
 
         return self._page_of_lines(block).withColumnRenamed("doc_id", "page_id")

@@ -444,7 +444,7 @@ BINNED = with_tables(
     **POPULATION_CTES,
 )
 KERNEL = with_tables(
-    """select population, x, round(sum(exp(-0.5 * ((x - wc) / h) * ((x - wc) / h)) / (n * h * sqrt(2 * pi()))), 9) density
+    """select population, cast(x as int) x, round(sum(exp(-0.5 * ((x - wc) / h) * ((x - wc) / h)) / (n * h * sqrt(2 * pi()))), 9) density
       from {pop} join (select population, cast(count(*) as double) n, stddev_samp(wc) * pow(count(*), -0.2) h
         from {pop} group by population) b using (population), (select unnest(range(0, 121, 5)) x) g
       group by population, x""",
@@ -483,7 +483,7 @@ CLASS_GAP = f"""select split, round(sum(abs(t / nullif(tt, 0) - f / nullif(ft, 0
 
 INDEX = f"""select cast(event_id as varchar) tid, cast(ts as date) t_date, event_type transcript_type,
       '{INDEX_URL}e-' || cast(event_id as varchar) transcript_url,
-      case when event_type = 'view' then cast(value as decimal(5,2)) else 0 end transcript_sent
+      cast(case when event_type = 'view' then value else 0 end as decimal(5,2)) transcript_sent
     from events where event_type = 'error' or (event_type = 'view' and cast(value as decimal(5,2)) <> 0)"""
 LINES = """select doc_id, unnest(string_split(text, chr(10))) line,
       generate_subscripts(string_split(text, chr(10)), 1) - 1 i from documents"""
@@ -554,7 +554,8 @@ CLAIM_ROWSET = with_tables(
       from {wp_statements}"""
 )
 GENERATED = with_tables(
-    """select sid, length(statement_text) - length(replace(statement_text, ' ', '')) + 1 wc from {wp_statements}"""
+    """select sid, cast(length(statement_text) - length(replace(statement_text, ' ', '')) + 1 as int) wc
+      from {wp_statements}"""
 )
 SURROGATE = with_tables(
     """select (select max(thread_id) from {dcbot_tweets}) + row_number() over (order by s_date, sid) thread_id, sid
