@@ -19,6 +19,14 @@ from corpuslens.sources.html import Field, Step, extract
 from corpuslens.streaming.ingest import keyed_sink
 from corpuslens.streaming.threads import thread_stream
 
+try:  # the text operators and their pipeline are an optional part
+    import corpus_pipeline
+    from corpuslens.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "corpuslens.llm"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 STYPE = {"all": None, "nontweet": NONTWEET, "tweet": TWEET}
@@ -374,8 +382,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: (lambda spark, sf_dir, b=build: b(Inputs(spark, sf_dir))) for name, (build, _) in _all().items()}
+    found = {name: (lambda spark, sf_dir, b=build: b(Inputs(spark, sf_dir))) for name, (build, _) in _all().items()}
+    return found if llm is None else {**found, **llm.QUERIES, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _all().items() if sql is not None}
+    found = {name: sql for name, (_, sql) in _all().items() if sql is not None}
+    if llm is None:
+        return found
+    whole = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return {**found, **llm.ORACLES, **whole}
