@@ -37,7 +37,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, where=None, limit:
     if where is not None:
         known = known.where(where)
     if limit is not None:
-        known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+        known = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))  # at most ``limit`` ids
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return texts.join(known, "doc_id").dropDuplicates(["doc_id", "text"])
 

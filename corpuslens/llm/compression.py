@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.llm.common import fold, labelled, map_texts, texts_of
-from corpuslens.llm.subwords import _MIX, _P, _P_INVERSE, _pieces, _powers
+from corpuslens.llm.subwords import hash_words
 
 LEVEL = 6  # lower levels keep one dictionary position per hash slot, which blurs the comparison
 CODE = 8
@@ -31,17 +31,7 @@ def word_codes(text: str) -> np.ndarray:
 
     A word then costs 8 incompressible bytes unless a dictionary holds it, whatever its length and letters.
     """
-    out = []
-    for piece in _pieces(text.encode("utf-8", "surrogatepass")):
-        b = _FOLDED[np.frombuffer(b" " + piece + b" ", np.uint8)]
-        space, x = b == 32, b.astype(np.uint64)
-        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-        start, stop = edge[0::2], edge[1::2]
-        total = np.r_[np.uint64(0), np.cumsum(x * _powers(_P, len(x)), dtype=np.uint64)]
-        w = (total[stop] - total[start]) * _powers(_P_INVERSE, len(x))[start]
-        w = (w ^ (w >> np.uint64(29))) * _MIX
-        out.append(w ^ (w >> np.uint64(32)))
-    return np.concatenate(out)
+    return hash_words(text, _FOLDED)
 
 
 @dataclass

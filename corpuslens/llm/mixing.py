@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.llm.common import stored
+from corpuslens.llm.spans import count_words
 
-WORD = r"[^\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]"
 EDGE = 1e-9
 
 
@@ -121,9 +122,8 @@ def mix(
     Returns doc_id, size, source, source_size, target, copies, taken.
     """
     spark = docs.sparkSession
-    sized = stored(docs.select(
-        "doc_id", "source",
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size")), "mix-sizes")
+    size = count_words(F.coalesce("text", F.lit("")), SPACE)
+    sized = stored(docs.select("doc_id", "source", size.alias("size")), "mix-sizes")
     totals = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).collect()
     totals.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     names = [r["source"] for r in totals]

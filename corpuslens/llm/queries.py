@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import chat, compression, mixing, rules, substrings, subwords
+from corpuslens.llm import chat, compression, decontaminate, licenses, mixing, neardups, rules, secrets, substrings, subwords
 from corpuslens.llm.common import fold, table
 
 
@@ -20,11 +20,19 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subwords.classify(docs, model, 0.3)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), round_weights)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return rules.judge(docs, rules.fit(docs, table(spark, sf_dir, "labels")))
@@ -38,21 +46,33 @@ def op6_chat_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.prefix_examples(turns.union(extra)))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardups.link(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return compression.classify(docs, compression.train(docs, labels, where=fold(F.col("doc_id"), 3) != 1))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeats(table(spark, sf_dir, "documents")).drop("row")
 
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_license_scan": op2_license_scan,
     "op3_mix_sources": op3_mix_sources,
+    "op4_secret_scan": op4_secret_scan,
     "op5_quality_rules": op5_quality_rules,
     "op6_chat_prefixes": op6_chat_prefixes,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_toxicity": op8_toxicity,
+    "op9_decontaminate": op9_decontaminate,
     "op10_substring_dedup": op10_substring_dedup,
 }
 

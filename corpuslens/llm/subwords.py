@@ -43,6 +43,21 @@ def _pieces(raw: bytes) -> list[bytes]:
     return [*out, raw[at:]]
 
 
+def hash_words(text: str, folded: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word of the whole text; ``folded`` maps bytes, those between words to a space."""
+    out = []
+    for piece in _pieces(text.encode("utf-8", "surrogatepass")):
+        b = folded[np.frombuffer(b" " + piece + b" ", np.uint8)]
+        space, x = b == 32, b.astype(np.uint64)
+        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+        start, stop = edge[0::2], edge[1::2]
+        total = np.r_[np.uint64(0), np.cumsum(x * _powers(_P, len(x)), dtype=np.uint64)]
+        w = (total[stop] - total[start]) * _powers(_P_INVERSE, len(x))[start]
+        w = (w ^ (w >> np.uint64(29))) * _MIX
+        out.append(w ^ (w >> np.uint64(32)))
+    return np.concatenate(out)
+
+
 def _features(raw: bytes) -> np.ndarray:
     b = np.frombuffer(b" " + raw + b" ", np.uint8)
     space = _SPACE[b]
