@@ -17,7 +17,7 @@ SHINGLE = 5
 HALVES, ROWS = 12, 4  # two collections of HALVES hashes of ROWS minhashes each: 96 minhashes give 144 tables of 8
 HASHES = 2 * HALVES * ROWS
 LINK = (85, 100)
-FLOOR = 0.73  # share of equal minhashes below which a pair isn't compared: 3.3 standard deviations under the link
+BITS = 2048
 CHUNK = 1500
 
 _FOLDED = np.arange(256, dtype=np.uint8)
@@ -60,6 +60,14 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return LINK[1] * both >= LINK[0] * (len(a) + len(b) - both)
 
 
+def parities(codes: np.ndarray) -> np.ndarray:
+    """BITS bits, each the parity of the members hashed to it.
+
+    Two sets' bits differ in at most as many places as the sets have members that are not shared.
+    """
+    return np.packbits(np.bincount((codes >> np.uint64(5)).astype(np.int64) % BITS, minlength=BITS).astype(np.uint8) & 1)
+
+
 def minhashes(codes: np.ndarray) -> np.ndarray:
     low = np.full(HASHES, np.uint32(0xFFFFFFFF))
     x = (codes >> np.uint64(32)).astype(np.uint32)
@@ -76,7 +84,7 @@ def _sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
         digest1.append(np.add.reduce(codes))
         digest2.append(np.add.reduce(_mixed(codes ^ _ODD[1])))
         low = minhashes(codes)
-        sketches.append(low.astype(np.uint8).tobytes())
+        sketches.append(parities(codes).tobytes())
         parts = low.reshape(2 * HALVES, ROWS).astype(np.uint64)
         halves.append(_mixed((parts * _ODD[:ROWS]).sum(axis=1, dtype=np.uint64) + np.arange(2 * HALVES, dtype=np.uint64)))
     as_long = lambda x: pa.array(np.array(x, np.uint64).astype(np.int64))
@@ -98,7 +106,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         if not batch.num_rows:
             continue
         cols = [batch.column(k).to_numpy() for k in range(5)]
-        cols.append(np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(-1, HASHES))
+        cols.append(np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint64).reshape(-1, BITS // 64))
         edge = np.flatnonzero((cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])) + 1
         for lo, hi in zip(np.r_[0, edge], np.r_[edge, batch.num_rows], strict=True):
             piece = [c[lo:hi] for c in cols]
@@ -113,14 +121,16 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
 
 
 def _close(sizes: np.ndarray, sketches: np.ndarray, k: int) -> np.ndarray:
-    """Share of equal minhashes with row ``k``; 0 where the sizes alone rule a link out."""
-    same = (sketches == sketches[k]).mean(axis=1)
-    fits = LINK[1] * np.minimum(sizes, sizes[k]) >= LINK[0] * np.maximum(sizes, sizes[k])
-    return np.where(fits, same, 0.0)
+    """How alike each row is to row ``k`` by parities; -1 where sizes or parities prove that they aren't linked."""
+    total = sizes + sizes[k]
+    apart = np.bitwise_count(sketches ^ sketches[k]).sum(axis=1, dtype=np.int64)
+    more, less = LINK[1] + LINK[0], LINK[1] - LINK[0]  # links have at most less / more of both sizes unshared
+    may = (apart * more <= total * less) & (LINK[1] * np.minimum(sizes, sizes[k]) >= LINK[0] * np.maximum(sizes, sizes[k]))
+    return np.where(may, 1 - apart / np.maximum(1, total), -1.0)
 
 
 def _tree(cols: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Likeliest links that join the bucket: a maximum spanning forest by share of equal minhashes."""
+    """Likeliest links that join the bucket: a maximum spanning forest by likeness."""
     docs, sizes, sketches = cols[2], cols[3], cols[5]
     n = len(docs)
     best, parent, open_ = np.full(n, -1.0), np.zeros(n, np.int64), np.ones(n, bool)
@@ -131,7 +141,7 @@ def _tree(cols: list[np.ndarray]) -> list[tuple[int, int]]:
         better = open_ & (near > best)
         best[better], parent[better] = near[better], k
         k = int(np.where(open_, best, -2.0).argmax())
-        if best[k] >= FLOOR:
+        if best[k] >= 0:
             out.append((int(docs[k]), int(docs[parent[k]])))
     return out
 
@@ -141,7 +151,7 @@ def _across(cols: list[np.ndarray]) -> list[tuple[int, int]]:
     docs, sizes, found, sketches = cols[2], cols[3], cols[4], cols[5]
     out = []
     for k in range(len(docs) - 1):
-        may = (_close(sizes[k:], sketches[k:], 0) >= FLOOR) & (found[k:] != found[k])
+        may = (_close(sizes[k:], sketches[k:], 0) >= 0) & (found[k:] != found[k])
         out += [(int(docs[k]), int(d)) for d in docs[k:][may]]
     return out
 
@@ -205,8 +215,9 @@ def link(docs: DataFrame) -> DataFrame:
     3. Buckets with the same members count once. In each, in parts of CHUNK members dealt anew per table, a spanning
        forest of the likeliest links is proposed, at most one pair per member, and confirmed.
     4. What lies in one bucket but in two components after that is proposed in full (large buckets by pairs of
-       blocks), but for pairs already compared. So every pair that shares a table and FLOOR of the minhashes is either
-       confirmed, refuted or joined through others.
+       blocks), but for pairs already compared. So every pair that shares a table is confirmed, refuted or joined through
+       others. Pairs whose sizes or parity bits prove that they are no link are refuted on the spot, which
+       leaves few to propose even in a large group of texts that are nearly linked.
 
     A pair at exactly 85 shares no table with probability 3e-4, one at 90 with 5e-6.
     """
