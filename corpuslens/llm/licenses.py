@@ -161,14 +161,18 @@ def _places(norm: Column, pattern: Column) -> Column:
 _FOUND = "array<struct<start:bigint,last:bigint,rank:int,stop:bigint>>"
 
 
-def _detections(norm: Column) -> Column:
-    """All matches of all rules whose keyword occurs, sorted by start, longest first, then priority."""
+def _keywords(norm: Column) -> Column:
+    """The rules' keywords that occur in a text."""
+    words = sorted({w for r in RULES for w in r.keywords.split("|")})
+    return F.filter(F.expr(f"array({','.join(map(repr, words))})"), lambda k: F.contains(norm, k))
+
+
+def _detections(norm: Column, here: Column) -> Column:
+    """All matches of all rules with a keyword in ``here``, sorted by start, longest first, then priority."""
     rules = F.expr("array(" + ",".join(
         f"struct({k} as rank, array({','.join(map(repr, r.keywords.split('|')))}) as keywords, r'{r.pattern}' as pattern)"
         for k, r in enumerate(RULES)) + ")")
-    words = sorted({w for r in RULES for w in r.keywords.split("|")})
-    here = F.filter(F.expr(f"array({','.join(map(repr, words))})"), lambda k: F.contains(norm, k))
-    near = F.when(F.size(here) > 0, F.filter(rules, lambda r: F.arrays_overlap(r["keywords"], here))).otherwise(F.slice(rules, 1, 0))
+    near = F.filter(rules, lambda r: F.arrays_overlap(r["keywords"], here))
     found = F.flatten(F.transform(near, lambda r: F.transform(_places(norm, r["pattern"]), lambda p: F.struct(
         p["start"].alias("start"), (-p["stop"]).alias("last"), r["rank"].alias("rank"), p["stop"].alias("stop")))))
     return F.array_sort(found)
@@ -212,7 +216,9 @@ def scan(docs: DataFrame) -> DataFrame:
     found = rows.withColumns(
         {f"base{k}": F.when(F.col("norm").contains(f" {phrase} "), base[label]).otherwise(none)
          for k, (phrase, label) in enumerate(BASE)}
-    ).withColumn("kept", F.when(F.col("norm").isNotNull(), _settled(_detections(F.col("norm")))).otherwise(F.array().cast(_FOUND)))
+    ).withColumn("here", F.when(F.col("norm").isNotNull(), _keywords(F.col("norm"))))
+    found = found.withColumn("kept", F.when(
+        F.size("here") > 0, _settled(_detections(F.col("norm"), F.col("here")))).otherwise(F.array().cast(_FOUND)))
     starts = F.transform(F.concat(*[f"base{k}" for k in range(len(BASE))]), lambda p: p["start"])
     plain = F.array_compact(F.array(*[F.when(F.size(f"base{k}") > 0, F.lit(label)) for k, (_, label) in enumerate(BASE)]))
     labels = F.expr(f"array({','.join(repr(r.label) for r in RULES)})")
