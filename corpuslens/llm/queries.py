@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import chat, compression, decontaminate, licenses, mixing, neardups, rules, secrets, substrings, subwords
+from corpuslens.llm import chat, compression, decontaminate, licenses, mixing, neardups, oracle, rules, secrets, substrings, subwords
 from corpuslens.llm.common import fold, table
 
 
@@ -76,4 +76,4 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op6_chat_prefixes": oracle.CHAT, "op10_substring_dedup": oracle.SUBSTRINGS}

@@ -113,9 +113,12 @@ def _unique(docs: DataFrame) -> bool:
 def report(docs: DataFrame, scope: int = 300) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans: one row per input row."""
     found = scan(docs.select("doc_id", "text"), scope=scope)
-    count = {k: F.size(F.filter("base", lambda s, r=r: s["rank"] == r)).cast("bigint") for r, k in enumerate(KINDS[:3])}
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["rank"] == KINDS.index(kind))).cast("bigint")
+
     return found.select(
-        "doc_id", *[count[k].alias(f"n_{k}") for k in KINDS[:3]],
+        "doc_id", *[count(k).alias(f"n_{k}") for k in KINDS[:3]],
         F.sha2(_named(F.col("base")), 256).alias("base_sha256"),
         _named(F.array_sort(F.concat("base", "linked"))).alias("spans"))
 
