@@ -12,7 +12,7 @@ from corpuslens import oracle
 from corpuslens.fixtures import INDEX_URL, SPEAKER, Inputs
 from corpuslens.operators import corpus, distributions, evaluate, feedback, ingest, queues, reports, threads, vectors
 from corpuslens.plans.slices import NONTWEET, TWEET
-from corpuslens.schemas import LENGTHS, TABLES
+from corpuslens.schemas import KEYS, TABLES
 from corpuslens.session import shared_folder
 from corpuslens.sources import claims, transcripts, tweets
 from corpuslens.sources.html import Field, Step, extract
@@ -212,8 +212,8 @@ def _queues_and_feedback() -> dict[str, tuple[Callable[[Inputs], DataFrame], str
 def _distributions() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
     def counts(i):
         return distributions.word_counts({
-            "falsehoods": corpus.falsehoods(i.wp_statements),
-            "truths": corpus.truths(i.fbase_statements, i.fbase_transcripts, i.dcbot_tweets, i.wp_statements),
+            "falsehoods": corpus.falsehood_set(i.wp_statements),
+            "truths": corpus.truth_set(i.fbase_statements, i.fbase_transcripts, i.dcbot_tweets, i.wp_statements),
             "matched falsehoods": i.falsehood_rows,
             "matched truths": i.truth_rows,
         })
@@ -295,8 +295,8 @@ def _streams() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
 
     def stream_claims(i):
         out, state = shared_folder(i.spark, "claims"), shared_folder(i.spark, "claims-state")
-        rows = i.stream_of("wp_statements").select("sid", "statement_hash")
-        finish(keyed_sink(rows, out, state, ["statement_hash"], ["sid"]))
+        rows = i.stream_of("wp_statements").select("sid", *KEYS["wp_statements"])
+        finish(keyed_sink(rows, out, state, KEYS["wp_statements"], ["sid"]))
         return i.spark.read.schema(rows.schema).parquet(out)
 
     return {
@@ -321,8 +321,8 @@ def _loading() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
         return ingest.newer_rows(i.raw_tweets, mark, "tweet_id", inclusive=False).select("tweet_id", "user_id")
 
     def rejects(i):
-        rules = ingest.broken_rules(TABLES["wp_statements"], LENGTHS["wp_statements"])
-        found = ingest.with_reject_reason(i.wp_statements, i.dcbot_tweets, ["statement_hash"], ["sid"], rules)
+        rules = ingest.broken_rules(TABLES["wp_statements"])
+        found = ingest.with_reject_reason(i.wp_statements, i.loaded_claims, KEYS["wp_statements"], ["sid"], rules)
         return found.select("sid", "reject_reason")
 
     def english(i):
@@ -337,7 +337,7 @@ def _loading() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
             oracle.UNKNOWN),
         "s09_rows_to_insert": (
             lambda i: ingest.rows_to_insert(
-                i.wp_statements.select("sid", "statement_hash"), i.dcbot_tweets, ["statement_hash"], ["sid"]),
+                i.wp_statements.select("sid", *KEYS["wp_statements"]), i.loaded_claims, KEYS["wp_statements"], ["sid"]),
             oracle.TO_INSERT),
         "s10_reject_reasons": (rejects, oracle.REJECTS),
         "s11_claim_rowset": (lambda i: ingest.claim_rowset(i.wp_statements), oracle.CLAIM_ROWSET),
@@ -348,8 +348,9 @@ def _loading() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
             oracle.SQL_FRAME),
         "s14_surrogate_keys": (
             lambda i: ingest.with_surrogate_key(
-                i.wp_statements.select("sid", "s_date"), i.dcbot_tweets, "thread_id", ["s_date", "sid"])
-            .select("thread_id", "sid"),
+                i.wp_statements.where("sid % 3 <> 0").select(F.col("sid").alias("source_sid"), "s_date"),
+                i.loaded_claims, "sid", ["s_date", "source_sid"])
+            .select("sid", "source_sid"),
             oracle.SURROGATE),
         "s15_generated_word_count": (
             lambda i: ingest.with_word_count(i.wp_statements.drop("wc")).select("sid", "wc"), oracle.GENERATED),

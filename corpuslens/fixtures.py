@@ -33,6 +33,7 @@ SQL = {
           date '2017-01-20' + cast(doc_id * 7 % 1200 as int) s_date, sha1(text) statement_hash,
           cast(length(text) - length(replace(text, ' ', '')) + 1 as int) wc
         from {documents} where cast(substring(source, 4) as int) < 7""",
+    "loaded_claims": "select * from {wp_statements} where sid % 3 = 0",  # what an earlier load brought
     "dcbot_tweets": """
         select doc_id thread_id, 1000000000000000000 + doc_id end_thread_tweet_id, text statement_text,
           cast(date '2017-01-10' + cast(doc_id * 7 % 1200 as int) as timestamp) t_start_date,
@@ -166,9 +167,8 @@ class Inputs:
         return self.spark.sql(sql, **{ref: getattr(self, ref) for ref in references(sql)})
 
     def _spread(self, df: DataFrame) -> DataFrame:
-        """A scan over all cores when its files give fewer tasks, for work that is heavy per row."""
-        cores = self.spark.sparkContext.defaultParallelism
-        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+        """A scan dealt evenly over all cores, for work that is heavy per row."""
+        return df.repartition(self.spark.sparkContext.defaultParallelism)
 
     @cached_property
     def truth_snapshot(self) -> DataFrame:

@@ -7,10 +7,10 @@ space means what Python's ``str.strip`` and ``\\s`` mean, spelled out because Ja
 from __future__ import annotations
 
 import html
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,12 +29,16 @@ FIRST_INTEGER = r"[0-9]+"
 FIRST_DECIMAL = r"-?[0-9]+(\.[0-9]+)?"
 TWEET_URL = "https://twitter.com/a/status/"
 ID_MARK = "***"
-GENERIC_DOMAINS = (
-    "com net org edu gov mil aero asia biz cat coop info int jobs mobi museum name post pro tel travel xxx"
-).split()
-# Country domains are the ISO 3166 codes, less and plus these.
-NOT_DOMAINS = "bl bq cw mf um".split()
-EXTRA_DOMAINS = "ac an cs dd eu ja su tp uk yu".split()
+DOMAINS = tuple("""
+com net org edu gov mil aero asia biz cat coop info int jobs mobi museum name post pro tel travel xxx
+ac ad ae af ag ai al am an ao aq ar as at au aw ax az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bv bw by bz
+ca cc cd cf cg ch ci ck cl cm cn co cr cs cu cv cx cy cz dd de dj dk dm do dz ec ee eg eh er es et eu fi fj fk fm fo fr
+ga gb gd ge gf gg gh gi gl gm gn gp gq gr gs gt gu gw gy hk hm hn hr ht hu id ie il im in io iq ir is it
+ja je jm jo jp ke kg kh ki km kn kp kr kw ky kz la lb lc li lk lr ls lt lu lv ly
+ma mc md me mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw mx my mz na nc ne nf ng ni nl no np nr nu nz om
+pa pe pf pg ph pk pl pm pn pr ps pt pw py qa re ro rs ru rw sa sb sc sd se sg sh si sj sk sl sm sn so sr ss st su sv sx sy sz
+tc td tf tg th tj tk tl tm tn to tp tr tt tv tw tz ua ug uk us uy uz va vc ve vg vi vn vu wf ws ye yt yu za zm zw
+""".split())
 
 
 def word_count(text: Column) -> Column:
@@ -103,27 +107,12 @@ def unescape(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 
 
-def top_level_domains() -> list[str]:
-    """Generic and country domains the URL pattern knows, by rule from the JVM's ISO country list."""
-    jvm = SparkSession.active()._jvm
-    countries = {code.lower() for code in jvm.java.util.Locale.getISOCountries()}
-    return GENERIC_DOMAINS + sorted(countries - set(NOT_DOMAINS) | set(EXTRA_DOMAINS))
+def url_pattern(domains: Sequence[str] = DOMAINS) -> str:
+    """The published "liberal" URL pattern: addresses with a scheme, or bare domains with a known ending.
 
-
-def _any_of(words: list[str]) -> str:
-    """Alternatives grouped by first letter, so that a regular expression rejects most by one character."""
-    groups: dict[str, list[str]] = {}
-    for word in words:
-        groups.setdefault(word[0], []).append(word[1:])
-    return "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in groups.items())
-
-
-def url_pattern(domains: list[str] | None = None) -> str:
-    """Web addresses with a scheme, or bare domains with a known ending, with balanced brackets inside.
-
-    This is the widely published "liberal" URL pattern, written from its parts.
+    Fixed but for the endings; brackets inside an address must balance.
     """
-    known = _any_of(top_level_domains() if domains is None else domains)
+    known = "|".join(domains)
     nested = r"\([^\s()]*?\([^\s()]+\)[^\s()]*?\)"
     flat = r"\([^\s]+?\)"
     start = rf"(?:https?:(?:/{{1,3}}|[a-z0-9%])|[a-z0-9.\-]+[.](?:{known})/)"
@@ -138,7 +127,7 @@ def _once(text: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(text), use)[0]
 
 
-def remove_urls(text: Column, domains: list[str] | None = None) -> Column:
+def remove_urls(text: Column, domains: Sequence[str] = DOMAINS) -> Column:
     """Text without web addresses. Texts that cannot hold one skip the long pattern."""
     pattern = url_pattern(domains)
 
@@ -160,7 +149,7 @@ def _real_quotes(text: Column) -> Column:
     return F.regexp_replace(text, "[“”]", '"')
 
 
-def _clean_marks(text: Column, domains: list[str] | None) -> Column:
+def _clean_marks(text: Column, domains: Sequence[str]) -> Column:
     """The part that tweets and claims share."""
     text = F.replace(text, F.lit(MANGLED_EM_DASH), F.lit(""))
     text = F.translate(text, "\n\t", "")
@@ -168,14 +157,14 @@ def _clean_marks(text: Column, domains: list[str] | None) -> Column:
     return strip(F.regexp_replace(text, f"{MANGLED_SINGLE_QUOTES}|{MANGLED_DOUBLE_QUOTES}", "'"))
 
 
-def clean_tweet(text: Column, domains: list[str] | None = None, fix_unicode: bool = False) -> Column:
+def clean_tweet(text: Column, domains: Sequence[str] = DOMAINS, fix_unicode: bool = False) -> Column:
     """Cleaned tweet text, NULL when nothing is left."""
     text = unescape(text)
     text = _real_quotes(text) if fix_unicode else text
     return _once(_clean_marks(text, domains), lambda t: F.when(t != "", t))
 
 
-def clean_claim(text: Column, domains: list[str] | None = None, fix_unicode: bool = False) -> Column:
+def clean_claim(text: Column, domains: Sequence[str] = DOMAINS, fix_unicode: bool = False) -> Column:
     """Cleaned claim text; the first and last characters, its quotation marks, are dropped."""
     text = F.replace(strip(text), F.lit("\u00a0"), F.lit(" "))
     text = F.regexp_replace(text, r"(?s)\A.|.\z", "")

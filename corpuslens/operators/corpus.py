@@ -50,9 +50,14 @@ def _claim_rows(claims: DataFrame) -> DataFrame:
     )
 
 
+def falsehood_set(claims: DataFrame, share: tuple[float, float] = FALSE_SHARE) -> DataFrame:
+    """Claims without the shortest and longest, in no order."""
+    return trim_by_word_count(_claim_rows(claims), share).withColumn("label", F.lit("False"))
+
+
 def falsehoods(claims: DataFrame, share: tuple[float, float] = FALSE_SHARE) -> DataFrame:
-    """Claims without the shortest and longest, by date and text; the id splits copies between sort tasks."""
-    kept = trim_by_word_count(_claim_rows(claims), share).withColumn("label", F.lit("False"))
+    """``falsehood_set`` by date and text; the id splits copies between sort tasks."""
+    kept = falsehood_set(claims, share)
     return kept.orderBy("s_date", "statement_text", "sid").select("statement_text", "s_type", "s_date", "label")
 
 
@@ -85,16 +90,27 @@ def _truth_rows(
     return spoken.unionByName(written)
 
 
-def truths(
+def truth_set(
     statements: DataFrame,
     transcripts: DataFrame,
     tweets: DataFrame,
     claims: DataFrame,
     share: tuple[float, float] = TRUE_SHARE,
 ) -> DataFrame:
-    """Transcript statements and tweets without the shortest and longest, by date and text."""
+    """Transcript statements and tweets without the shortest and longest, in no order."""
     rows = _truth_rows(statements, transcripts, tweets, None, last_claim_date(claims))
-    kept = trim_by_word_count(rows, share).withColumn("label", F.lit("True"))
+    return trim_by_word_count(rows, share).withColumn("label", F.lit("True"))
+
+
+def truths(
+    statements: DataFrame,
+    transcripts: DataFrame,
+    tweets: DataFrame,
+    claims: DataFrame,
+    share: tuple[float, float] = TRUE_SHARE,
+) -> DataFrame:
+    """``truth_set`` by date and text."""
+    kept = truth_set(statements, transcripts, tweets, claims, share)
     return kept.orderBy("s_date", "statement_text", "truth_id").select("statement_text", "s_type", "s_date", "label")
 
 

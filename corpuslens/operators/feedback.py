@@ -20,10 +20,11 @@ def new_claims(claims: DataFrame, model_metadata: DataFrame, ds_metadata: DataFr
 def _nearest(claims: DataFrame, pairs: DataFrame, truths: DataFrame, ids: list[str]) -> DataFrame:
     """Per claim the nearest pair whose truth exists, ties by truth id.
 
-    Only ids and distances travel until one pair per claim is left; a claim with very many
-    pairs is reduced to one before the shuffle by partial aggregation.
+    Pairs of other claims go first. Only ids and distances travel until one pair per claim is left; a claim with
+    very many pairs is reduced to one before the shuffle by partial aggregation.
     """
-    existing = pairs.join(truths.select(*ids), ids, "left_semi")
+    wanted = pairs.join(claims.select(F.col("sid").alias("falsehood_id")), "falsehood_id", "left_semi")
+    existing = wanted.join(truths.select(*ids), ids, "left_semi")
     order = F.struct("l2dist", *ids)
     nearest = existing.groupBy("falsehood_id").agg(F.min(order).alias("m")).select("falsehood_id", "m.*")
     found = nearest.join(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -53,11 +53,9 @@ def _has_reason(reason: str, condition: Column) -> Column:
     return F.when(condition, F.lit(reason))
 
 
-def broken_rules(schema: T.StructType, lengths: Mapping[str, int] | None = None) -> list[Column]:
-    """Reasons a row breaks its table's rules: nulls in required columns, over-long text."""
-    nulls = [_has_reason(f"null:{f.name}", F.col(f.name).isNull()) for f in schema if not f.nullable]
-    long = [_has_reason(f"too_long:{c}", F.length(c) > n) for c, n in (lengths or {}).items()]
-    return nulls + long
+def broken_rules(schema: T.StructType) -> list[Column]:
+    """Reasons a row breaks its table's rules: nulls in required columns. Text may have any length."""
+    return [_has_reason(f"null:{f.name}", F.col(f.name).isNull()) for f in schema if not f.nullable]
 
 
 def with_reject_reason(

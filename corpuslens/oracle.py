@@ -539,14 +539,18 @@ UNKNOWN = with_tables(
       on s.tid = p.tid and s.sid = p.sid where p.tid is null"""
 )
 TO_INSERT = with_tables(
-    """select sid, statement_hash from (select *, row_number() over (partition by statement_hash order by sid) rn
-        from {wp_statements}) w where rn = 1 and statement_hash not in (select statement_hash from {dcbot_tweets})"""
+    """select sid, statement_hash, iid, s_date from (
+          select *, row_number() over (partition by statement_hash, iid, s_date order by sid) rn from {wp_statements}) w
+        where rn = 1 and (statement_hash, iid, s_date) not in (select (statement_hash, iid, s_date) from {loaded_claims})"""
+)
+STREAM_APPEND = with_tables(
+    "select min(sid) sid, statement_hash, iid, s_date from {wp_statements} group by statement_hash, iid, s_date"
 )
-STREAM_APPEND = with_tables("select min(sid) sid, statement_hash from {wp_statements} group by statement_hash")
 REJECTS = with_tables(
-    """select sid, case when length(statement_text) > 2000 then 'too_long:statement_text'
-        when statement_hash in (select statement_hash from {dcbot_tweets}) then 'exists'
-        when row_number() over (partition by statement_hash order by sid) > 1 then 'duplicate_in_batch' end reject_reason
+    """select sid, case
+        when (statement_hash, iid, s_date) in (select (statement_hash, iid, s_date) from {loaded_claims}) then 'exists'
+        when row_number() over (partition by statement_hash, iid, s_date order by sid) > 1 then 'duplicate_in_batch'
+        end reject_reason
       from {wp_statements}"""
 )
 CLAIM_ROWSET = with_tables(
@@ -558,8 +562,8 @@ GENERATED = with_tables(
       from {wp_statements}"""
 )
 SURROGATE = with_tables(
-    """select (select max(thread_id) from {dcbot_tweets}) + row_number() over (order by s_date, sid) thread_id, sid
-      from {wp_statements}"""
+    """select (select max(sid) from {loaded_claims}) + row_number() over (order by s_date, sid) sid, sid source_sid
+      from {wp_statements} where sid % 3 <> 0"""
 )
 KEY_VIOLATIONS = with_tables(
     "select statement_hash, count(*) n from {wp_statements} group by statement_hash having count(*) > 1"

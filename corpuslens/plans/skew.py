@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1000  # a key is hot above 1/1000 of all rows, so there are fewer than 1000 of them
+HOT = 2  # a key is hot when it alone has more rows than this many average shuffle partitions
 
 
 def lookup_join(
@@ -18,29 +18,28 @@ def lookup_join(
     spread_by: Sequence[str],
     how: str = "inner",
     count_on: DataFrame | None = None,
-    salts: int = 1024,
-    min_rows: int = 100_000,
+    hot: float = HOT,
 ) -> DataFrame:
     """Join ``df``, where one key may hold much of the data, to ``lookup``, which has one row per key.
 
     AQE does not split a hot key when the other side is already aggregated on that key. So keys are
-    counted first (in ``count_on`` if ``df`` is costly); rows of hot keys are spread over ``salts``
-    copies of their lookup row, and so are rows with a NULL key, which match nothing. The salt comes
+    counted first (in ``count_on`` if ``df`` is costly). A key with more rows than ``hot`` average shuffle
+    partitions is spread over one copy of its lookup row per average partition, so copies never exceed the
+    partitions, whatever the size of the data; rows with a NULL key, which match nothing, are spread too. The salt comes
     from columns of the row (``spread_by``), so a task that is run again sends its rows to the same places.
     """
     keys = list(keys)
     counted = df if count_on is None else count_on
-    total = counted.agg(F.count(F.lit(1))).scalar()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    average = F.greatest(F.lit(1.0), counted.agg(F.count(F.lit(1)) / parts).scalar())
     sizes = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    is_hot = (F.col("__n") >= min_rows) & (F.col("__n") * HOT_SHARE > total)
-    hot = F.broadcast(sizes.where(is_hot).select(*keys, F.lit(True).alias("__hot")))
+    split = sizes.where(F.col("__n") > hot * average)
+    heavy = F.broadcast(split.select(*keys, F.ceil(F.col("__n") / average).cast("bigint").alias("__salts")))  # fewer than parts
 
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts))
-    none = F.lit(0).cast("bigint")
-    salted = df.join(hot, keys, "left").withColumn("__salt", F.when(F.col("__hot") | no_key, spread).otherwise(none))
-    all_salts = F.sequence(none, F.lit(salts - 1).cast("bigint"))
-    copies = lookup.join(hot, keys, "left").withColumn(
-        "__salt", F.explode(F.when(F.col("__hot"), all_salts).otherwise(F.array(none)))
-    )
-    return salted.drop("__hot").join(copies.drop("__hot"), [*keys, "__salt"], how).drop("__salt")
+    none, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    salts = F.coalesce("__salts", F.when(no_key, F.lit(parts).cast("bigint")).otherwise(one))
+    salted = df.join(heavy, keys, "left").withColumn("__salt", F.pmod(F.xxhash64(*spread_by), salts))
+    copies = lookup.join(heavy, keys, "left").withColumn(
+        "__salt", F.explode(F.sequence(none, F.coalesce("__salts", one) - 1)))
+    return salted.drop("__salts").join(copies.drop("__salts"), [*keys, "__salt"], how).drop("__salt")

@@ -99,10 +99,3 @@ KEYS = {
     "stmts_analyzed_published": ("dc_tid",),
     "tweets_analyzed_published": ("dc_tid",),
 }
-
-# Longest text a column takes; longer rows go to the rejects, text is never cut.
-LENGTHS = {
-    "wp_statements": {"statement_text": 2000, "topic": 30, "source": 30},
-    "fbase_transcripts": {"tid": 100, "transcript_type": 30, "transcript_url": 1000},
-    "fbase_statements": {"tid": 100},
-}

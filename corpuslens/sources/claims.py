@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 from corpuslens.functions.text import clean_claim, first_integer, strip
 from corpuslens.sources.html import Field, Step, extract
 
-DATE_FORMATS = ("MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy", "M/d/yyyy", "yyyy-MM-dd")
+DATE_FORMATS = (
+    "MMM d yyyy", "MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy", "MMM d yy", "MMMM d yy", "d MMM yy", "d MMMM yy", "yyyy MMM d",
+    "yyyy MMMM d", "M/d/yyyy", "M/d/yy", "M-d-yyyy", "M-d-yy", "yyyy-M-d", "yyyy/M/d", "yyyyMMdd")
+WEEKDAY = r"(?i)\b(?:mon|tue|tues|wed|weds|wednes|thu|thur|thurs|fri|sat|satur|sun)(?:day)?\b"
+ORDINAL = r"(?i)\b(\d{1,2})(?:st|nd|rd|th)\b"
+CLOCK = r"(?i)(?:\s|t|\bat\s)\s*\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?\s*(?:[ap]\.?m\.?)?\s*(?:z|[a-z]{2,4}|[+-]\d{2}:?\d{2})?\s*$"
 
 
 @dataclass(frozen=True)
@@ -29,8 +34,15 @@ class ClaimLayout:
 
 
 def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that fits; NULL when none does. Dots after month names are ignored."""
-    plain = F.regexp_replace(F.replace(strip(text), F.lit("."), F.lit("")), r"\s+", " ")
+    """The date of a free-form date text; NULL when no form fits, which ``claim_rows`` rejects and counts.
+
+    A time of day at the end, the weekday, ordinal endings, dots, commas and "of" are dropped and month names
+    get one spelling; what is left is tried against ``formats``, two-digit years as 2000 and after.
+    """
+    plain = F.regexp_replace(strip(text), CLOCK, "")
+    for pattern, to in ((WEEKDAY, " "), (ORDINAL, "$1"), (r"(?i)\bof\b", " "), (r"[.,\s]+", " ")):
+        plain = F.regexp_replace(plain, pattern, to)
+    plain = F.regexp_replace(F.initcap(F.trim(plain)), r"\bSept\b", "Sep")
     return F.coalesce(*[F.try_to_timestamp(plain, F.lit(f)) for f in formats]).cast("date")
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.functions.text import clean_tweet, continues, more_follows
+from corpuslens.functions.text import DOMAINS, clean_tweet, continues, more_follows
 
 TIMELINE_SCHEMA = (
     "id bigint, user_id bigint, created_at string, full_text string, retweeted_status struct<full_text string>"
@@ -16,10 +18,10 @@ API_TIME = "MMM dd HH:mm:ss Z yyyy"  # after the weekday, as in "Wed Oct 10 20:1
 
 def _timestamp(text: Column) -> Column:
     """ISO times, or the interface's own form; NULL for anything else."""
-    return F.coalesce(text.try_cast("timestamp"), F.try_to_timestamp(F.substring(text, 5, 100), F.lit(API_TIME)))
+    return F.coalesce(text.try_cast("timestamp"), F.try_to_timestamp(F.substr(text, F.lit(5)), F.lit(API_TIME)))
 
 
-def timeline(lines: DataFrame, column: str = "value", domains: list[str] | None = None) -> DataFrame:
+def timeline(lines: DataFrame, column: str = "value", domains: Sequence[str] = DOMAINS) -> DataFrame:
     """(author, tweet_id, text, ts, is_rt, more, cont) of messages with text left after cleaning.
 
     A repost carries the text of the message it repeats.

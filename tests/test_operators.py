@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpuslens.operators import corpus, distributions, evaluate, feedback, ingest, queues, reports, vectors
-from corpuslens.schemas import KEYS, LENGTHS, TABLES
+from corpuslens.schemas import KEYS, TABLES
 
 DAY = datetime.date
 NOON = datetime.datetime(2019, 2, 3, 12)
@@ -183,10 +183,10 @@ def test_reject_reasons(spark):
         columns,
     )
     target = spark.createDataFrame([claim(90, "b")], columns)
-    rules = ingest.broken_rules(TABLES["wp_statements"], LENGTHS["wp_statements"])
+    rules = ingest.broken_rules(TABLES["wp_statements"])
     got = ingest.with_reject_reason(batch, target, KEYS["wp_statements"], ["sid"], rules)
     assert {r.sid: r.reject_reason for r in got.collect()} == {
-        1: None, 2: "duplicate_in_batch", 3: "exists", 4: "too_long:statement_text", 5: None, 6: "null:topic",
+        1: None, 2: "duplicate_in_batch", 3: "exists", 4: None, 5: "duplicate_in_batch", 6: "null:topic",
     }
     parents = spark.createDataFrame([(2,)], "iid int")
     orphaned = ingest.with_reject_reason(batch, target, KEYS["wp_statements"], ["sid"], rules, parents, ["iid"])

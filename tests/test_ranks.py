@@ -81,6 +81,6 @@ def test_lookup_join_with_hot_and_null_keys(spark, how):
     rows = [(i, None if i % 50 == 0 else 1 if rng.random() < 0.4 else rng.randrange(2, 90)) for i in range(2000)]
     df = spark.createDataFrame(rows, "id bigint, k int").repartition(5)
     lookup = spark.createDataFrame([(k, f"v{k}") for k in range(1, 60)], "k int, v string")
-    got = lookup_join(df, lookup, ["k"], ["id"], how, salts=8, min_rows=100)
+    got = lookup_join(df, lookup, ["k"], ["id"], how, hot=0.5)
     naive = df.join(lookup, "k", how)
     assert sorted(map(str, got.select(*naive.columns).collect())) == sorted(map(str, naive.collect()))

@@ -130,3 +130,18 @@ def test_split_dates(spark, tmp_path):
     path.write_text(json.dumps({n: f"2020-0{i + 1}-01" for i, n in enumerate(names)}, indent=2))
     row = metadata.split_dates(spark, str(path)).first()
     assert row.asDict() == {n: datetime.date(2020, i + 1, 1) for i, n in enumerate(names)}
+
+
+@pytest.mark.parametrize("text, day", [
+    ("Sept. 20, 2019", (2019, 9, 20)), ("Monday, January 20, 2020", (2020, 1, 20)), ("1/20/17", (2017, 1, 20)),
+    ("Jan 5th, 2019", (2019, 1, 5)), ("2019/01/05", (2019, 1, 5)), ("Jan 05, 2019 10:30", (2019, 1, 5)),
+    ("JAN 5 2019 at 10:30 p.m. EST", (2019, 1, 5)), ("2019-01-05T10:30:00Z", (2019, 1, 5)), ("the 3rd of March 2018", None),
+    ("3rd of March 2018", (2018, 3, 3)), ("20 Sep 2019", (2019, 9, 20)), ("no date", None), (None, None),
+])
+def test_free_form_dates(spark, text, day):
+    import datetime
+
+    from corpuslens.sources.claims import parse_date
+
+    got = spark.createDataFrame([(text,)], "t string").select(parse_date(F.col("t"))).first()[0]
+    assert got == (day and datetime.date(*day))
