@@ -47,6 +47,10 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Fix a frame in reliable storage so later reads of it agree even after lost executors."""
-    _checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a frame as a Parquet table in the shared folder and read it back.
+
+    Later reads agree even after lost executors, and they take only the columns and rows they need.
+    """
+    path = shared_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
