@@ -21,12 +21,22 @@ def _timestamp(text: Column) -> Column:
     return F.coalesce(text.try_cast("timestamp"), F.try_to_timestamp(F.substr(text, F.lit(5)), F.lit(API_TIME)))
 
 
+def _rows(lines: DataFrame, column: str) -> DataFrame:
+    row = lines.select(F.from_json(column, TIMELINE_SCHEMA).alias("j")).select("j.*")
+    return row.withColumn("ts", _timestamp(F.col("created_at")))
+
+
+def _reject_reason() -> Column:
+    return F.when(F.col("id").isNull(), "no_id").when(F.col("ts").isNull(), "bad_time")
+
+
 def timeline(lines: DataFrame, column: str = "value", domains: Sequence[str] = DOMAINS) -> DataFrame:
     """(author, tweet_id, text, ts, is_rt, more, cont) of messages with text left after cleaning.
 
-    A repost carries the text of the message it repeats.
+    A repost carries the text of the message it repeats. Messages without a readable id or time are left to
+    ``timeline_rejects``.
     """
-    row = lines.select(F.from_json(column, TIMELINE_SCHEMA).alias("j")).select("j.*")
+    row = _rows(lines, column).where(_reject_reason().isNull())
     is_rt = F.col("retweeted_status").isNotNull()
     raw = F.when(is_rt, F.col("retweeted_status.full_text")).otherwise(F.col("full_text"))
     text = F.explode(F.array_compact(F.array(clean_tweet(raw, domains))))  # drops the rows without text
@@ -34,7 +44,13 @@ def timeline(lines: DataFrame, column: str = "value", domains: Sequence[str] = D
         F.col("user_id").alias("author"),
         F.col("id").alias("tweet_id"),
         text.alias("text"),
-        _timestamp(F.col("created_at")).alias("ts"),
+        F.col("ts"),
         is_rt.alias("is_rt"),
     )
     return cleaned.withColumns({"more": more_follows(F.col("text")), "cont": continues(F.col("text"))})
+
+
+def timeline_rejects(lines: DataFrame, column: str = "value") -> DataFrame:
+    """(author, tweet_id, created_at, reject_reason) of messages that ``timeline`` leaves out for a missing id or time."""
+    found = _rows(lines, column).withColumn("reject_reason", _reject_reason()).where("reject_reason is not null")
+    return found.select(F.col("user_id").alias("author"), F.col("id").alias("tweet_id"), "created_at", "reject_reason")

@@ -121,7 +121,7 @@ def test_message_times(spark):
     times = ["2018-10-10T20:19:24Z", "Wed Oct 10 20:19:24 +0000 2018", "Wed Oct 10 22:19:24 +0200 2018", "soon"]
     lines = [(json.dumps({"id": i, "user_id": 1, "created_at": t, "full_text": "x"}),) for i, t in enumerate(times)]
     rows = tweets.timeline(spark.createDataFrame(lines, "value string")).orderBy("tweet_id").collect()
-    assert [r.ts for r in rows] == [datetime.datetime(2018, 10, 10, 20, 19, 24)] * 3 + [None]
+    assert [r.ts for r in rows] == [datetime.datetime(2018, 10, 10, 20, 19, 24)] * 3  # the last has no time: rejected
 
 
 def test_split_dates(spark, tmp_path):
@@ -145,3 +145,12 @@ def test_free_form_dates(spark, text, day):
 
     got = spark.createDataFrame([(text,)], "t string").select(parse_date(F.col("t"))).first()[0]
     assert got == (day and datetime.date(*day))
+
+
+def test_messages_without_id_or_time_are_rejected(spark):
+    rows = [{"id": 1, "user_id": 7, "created_at": "2020-01-01 10:00:00", "full_text": "a"},
+            {"id": 2, "user_id": 7, "created_at": "some day", "full_text": "b"}, {"user_id": 8, "created_at": "2020-01-01", "full_text": "c"}]
+    lines = spark.createDataFrame([(json.dumps(r),) for r in rows], "value string")
+    assert [r.tweet_id for r in tweets.timeline(lines).collect()] == [1]
+    assert sorted((r.author, r.tweet_id, r.reject_reason) for r in tweets.timeline_rejects(lines).collect()) == [
+        (7, 2, "bad_time"), (8, None, "no_id")]
