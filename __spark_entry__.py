@@ -320,6 +320,15 @@ def _loading() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
         mark = ingest.high_water_mark(i.loaded_messages, "tweet_id", F.lit(0).cast("bigint"))
         return ingest.newer_rows(i.raw_tweets, mark, "tweet_id", inclusive=False).select("tweet_id", "user_id")
 
+    def newer_claims(i):
+        day = F.lit(ingest.BEGINNING_OF_TIME).cast("date")
+        mark = ingest.high_water_mark(i.loaded_claims, "s_date", day, F.col("iid") == 1)
+        return ingest.newer_rows(i.wp_statements, mark, "s_date", inclusive=True).select("sid", "s_date")
+
+    def snapshot(i):
+        view = corpus.near_duplicates(i.base_false_truth_del_cands, 0.04)
+        return ingest.snapshot(view, shared_folder(i.spark, "snapshot"))
+
     def rejects(i):
         rules = ingest.broken_rules(TABLES["wp_statements"])
         found = ingest.with_reject_reason(i.wp_statements, i.loaded_claims, KEYS["wp_statements"], ["sid"], rules)
@@ -340,7 +349,10 @@ def _loading() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
                 i.wp_statements.select("sid", *KEYS["wp_statements"]), i.loaded_claims, KEYS["wp_statements"], ["sid"]),
             oracle.TO_INSERT),
         "s10_reject_reasons": (rejects, oracle.REJECTS),
+        "s07_newer_claims": (newer_claims, oracle.NEWER_CLAIMS),
         "s11_claim_rowset": (lambda i: ingest.claim_rowset(i.wp_statements), oracle.CLAIM_ROWSET),
+        "s11_transcript_rowset": (lambda i: ingest.transcript_rowset(i.fbase_transcripts), oracle.TRANSCRIPT_ROWSET),
+        "s11_statement_rowset": (lambda i: ingest.statement_rowset(i.fbase_statements), oracle.STATEMENT_ROWSET),
         "s12_sql_frame": (
             lambda i: ingest.sql_frame(
                 i.spark, "select source, count(*) n, max(wc) longest from {claims} group by source",
@@ -354,6 +366,7 @@ def _loading() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
             oracle.SURROGATE),
         "s15_generated_word_count": (
             lambda i: ingest.with_word_count(i.wp_statements.drop("wc")).select("sid", "wc"), oracle.GENERATED),
+        "s17_snapshot": (snapshot, oracle.near_duplicates("base_false_truth_del_cands", 0.04)),
         "s16_key_violations": (
             lambda i: ingest.key_violations(i.wp_statements, ["statement_hash"]), oracle.KEY_VIOLATIONS),
         "s16_null_violations": (

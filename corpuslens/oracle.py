@@ -557,6 +557,13 @@ CLAIM_ROWSET = with_tables(
     """select iid, statement_text, repeats, topic, source, pinnochios, s_date, sha1(statement_text) statement_hash
       from {wp_statements}"""
 )
+TRANSCRIPT_ROWSET = with_tables(
+    "select tid, t_date, transcript_type, transcript_url, transcript_sent from {fbase_transcripts}"
+)
+STATEMENT_ROWSET = with_tables("select tid, sid, statement_text, sentiment from {fbase_statements}")
+NEWER_CLAIMS = with_tables(
+    "select sid, s_date from {wp_statements} where s_date >= (select max(s_date) from {loaded_claims} where iid = 1)"
+)
 GENERATED = with_tables(
     """select sid, cast(length(statement_text) - length(replace(statement_text, ' ', '')) + 1 as int) wc
       from {wp_statements}"""
