@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -13,7 +14,6 @@ from corpuslens.functions.scores import confusion_flags
 from corpuslens.functions.text import text_hash, word_count
 from corpuslens.plans.ranks import global_rank
 from corpuslens.plans.skew import lookup_join
-from corpuslens.session import materialise
 
 BEGINNING_OF_TIME = "1900-01-01"
 
@@ -188,20 +188,34 @@ def append_keyed(batch: DataFrame, path: str, keys: Sequence[str], order: Sequen
 
 
 def load_with_rejects(
-    batch: DataFrame, path: str, rejects_path: str, keys: Sequence[str], order: Sequence[str], rules: Sequence[Column] = ()
+    batch: DataFrame,
+    path: str,
+    rejects_path: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    rules: Sequence[Column] = (),
+    batch_id: str | None = None,
 ) -> tuple[int, int]:
     """Insert a batch and store the rows that were not inserted with their reason.
 
-    Returns the numbers of rows added and rejected. Unlike ``append_keyed`` nothing is dropped silently.
+    Returns the numbers of rows added and rejected. Unlike ``append_keyed`` nothing is dropped silently. What becomes
+    of each row is decided once per ``batch_id`` (one of its own for every call by default) and stored below the rejects;
+    a batch that is run again after a failure keeps those decisions, adds what is still missing and writes its rejects
+    over the earlier ones.
     """
-    target = read_or_empty(batch.sparkSession, path, batch.schema)
-    marked = materialise(with_reject_reason(batch, target, keys, order, rules))
-    sizes = [Observation(name) for name in ("accepted", "rejected")]
-    n = F.count(F.lit(1)).alias("n")
-    accepted = marked.where("reject_reason is null").drop("reject_reason").observe(sizes[0], n)
-    accepted.write.mode("append").parquet(path)
-    marked.where("reject_reason is not null").observe(sizes[1], n).write.mode("append").parquet(rejects_path)
-    return sizes[0].get["n"], sizes[1].get["n"]
+    spark, batch_id = batch.sparkSession, batch_id or uuid.uuid4().hex
+    decided = f"{rejects_path}/_decided/{batch_id}"  # readers of the rejects pass over the underscore
+    schema = T.StructType([*batch.schema, T.StructField("reject_reason", T.StringType())])
+    marked = read_or_empty(spark, decided, schema)
+    if marked.isEmpty():
+        target = read_or_empty(spark, path, batch.schema)
+        with_reject_reason(batch, target, keys, order, rules).write.mode("overwrite").parquet(decided)
+        marked = spark.read.schema(schema).parquet(decided)
+    added = append_keyed(marked.where("reject_reason is null").drop("reject_reason"), path, keys, order)
+    rejected = Observation("rejected")
+    bad = marked.where("reject_reason is not null").observe(rejected, F.count(F.lit(1)).alias("n"))
+    bad.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+    return added, rejected.get["n"]
 
 
 def read_jdbc(

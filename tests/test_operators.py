@@ -234,6 +234,16 @@ def test_load_with_rejects(spark, tmp_path):
     assert reasons == ["duplicate_in_batch", "exists", "exists", "null:v", "null:v"]
 
 
+def test_load_with_rejects_again_after_a_failure(spark, tmp_path):
+    columns = "k int, seq int, v string"
+    table, bad = str(tmp_path / "t"), str(tmp_path / "bad")
+    rows = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 3, "c")], columns)
+    assert ingest.load_with_rejects(rows, table, bad, ["k"], ["seq"], batch_id="b1") == (2, 1)
+    assert ingest.load_with_rejects(rows, table, bad, ["k"], ["seq"], batch_id="b1") == (0, 1)
+    assert spark.read.parquet(table).count() == 2
+    assert [(r.seq, r.reject_reason) for r in spark.read.parquet(bad).collect()] == [(2, "duplicate_in_batch")]
+
+
 def test_history_append_is_idempotent(spark, tmp_path):
     rows = report_rows(spark, [(i % 2, 0.1 + 0.02 * (i % 40)) for i in range(200)])
     both = rows.unionByName(rows.withColumn("stype", F.lit(1)).withColumn("statement_id", F.col("statement_id") + 1000))
