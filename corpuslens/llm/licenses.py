@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -95,7 +94,7 @@ NOTICES = (
     ("permission", "permission", "permission to use copy modify and or distribute", 0.9),
     ("redistribution", "redistribution", "redistribution and use in source and binary forms", 0.9),
     ("proprietary", "proprietary", "proprietary and confidential|confidential and proprietary", 0.7),
-    ("no-derivatives", "reproduced", "may not be (?:reproduced|copied|distributed)", 0.5),
+    ("no-derivatives", "reproduced|copied|distributed", "may not be (?:reproduced|copied|distributed)", 0.5),
     ("licensed", "licensed", "(?:is |are )?(?:dual )?licensed under", 0.3),
     ("licensed", "licence", "see (?:the )?licence(?: file)?(?: for details)?", 0.3),
     ("licensed", "license", "see (?:the )?license(?: file)?(?: for details)?", 0.3),
@@ -132,19 +131,6 @@ def _rules() -> list[Rule]:
 
 
 RULES = _rules()
-ALONE = (
-    "licen", "copyright", "copyleft", "reserved", "domain", "spdx", "commons", "warrant", "redistribution", "proprietary",
-    "permission", "reproduced", "cc0", "gpl", "wtfpl", "beerware")
-NAMES = (" mit", " bsd", "apache", "mozilla", "eclipse", " isc", " boost", " zlib")
-CC_BY = r"cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+by"
-
-
-def _near(low: Column) -> Column:
-    """Whether a text, in lower case, holds a word without which no rule and no base phrase matches."""
-    def some(words):
-        return reduce(lambda a, b: a | b, [low.contains(w) for w in words])
-
-    return some(ALONE) | (low.contains("under") & some(NAMES)) | (low.contains("cc") & low.rlike(CC_BY))
 
 
 def _spaces(text: Column) -> Column:
@@ -197,26 +183,24 @@ def scan(docs: DataFrame) -> DataFrame:
     """Base counts and labels, and the labels and trust of the settled detections: one row per input row.
 
     Base places are those where a phrase's words stand consecutively; they and their labels stay
-    whatever the rules say. Each rule runs only where its keyword occurs, on the lower-cased words of the whole text. ``score`` is the
+    whatever the rules say. Every text is normalised; each rule runs only where
+    its keyword occurs, on the lower-cased words of the whole text. ``score`` is the
     highest trust of a detection that stays (0 without one).
 
     Column expressions only, nothing is shuffled. A null text is empty: no words, empty labels. Repeated rows give
     equal results; only doc_id and text are read.
     """
-    whole = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", whole.alias("text")).withColumn("low", F.lower("text")).select(
-        "doc_id", "text", _near(F.col("low")).alias("near"))
-    norm = F.concat(F.lit(" "), F.regexp_replace(F.translate("text", UPPER, LOWER), BREAK, " "), F.lit(" "))
-    rows = rows.select(
-        "doc_id", count_words(F.col("text"), GAP).alias("n_words"),
-        F.when(F.col("near"), F.regexp_replace(norm, " {2,}", " ")).alias("norm"))
+    text = F.coalesce("text", F.lit(""))
+    norm = F.concat(F.lit(" "), F.regexp_replace(F.translate(text, UPPER, LOWER), BREAK, " "), F.lit(" "))
+    rows = docs.select(
+        "doc_id", count_words(text, GAP).alias("n_words"), F.regexp_replace(norm, " {2,}", " ").alias("norm"))
     # a base phrase can't overlap itself, so its matches are all its places
     base = {label: _places(F.col("norm"), F.lit(phrase)) for phrase, label in BASE}
     none = F.array().cast("array<struct<start:bigint,stop:bigint>>")
     found = rows.withColumns(
         {f"base{k}": F.when(F.col("norm").contains(f" {phrase} "), base[label]).otherwise(none)
          for k, (phrase, label) in enumerate(BASE)}
-    ).withColumn("here", F.when(F.col("norm").isNotNull(), _keywords(F.col("norm"))))
+    ).withColumn("here", _keywords(F.col("norm")))
     found = found.withColumn("kept", F.when(
         F.size("here") > 0, _settled(_detections(F.col("norm"), F.col("here")))).otherwise(F.array().cast(_FOUND)))
     starts = F.transform(F.concat(*[f"base{k}" for k in range(len(BASE))]), lambda p: p["start"])

@@ -76,6 +76,41 @@ def test_license_rules_settle_overlaps(spark):
     assert got == dict(enumerate(texts.values()))
 
 
+def samples(nodes):
+    """Texts that a pattern matches: every branch, optional parts left out."""
+    texts = [""]
+    for op, arg in nodes:
+        name = str(op)
+        if name == "LITERAL":
+            some = [chr(arg)]
+        elif name == "IN":
+            kind, first = arg[0]
+            some = [chr(first if str(kind) == "LITERAL" else first[0] if str(kind) == "RANGE" else ord("x"))]
+        elif name == "BRANCH":
+            some = [t for branch in arg[1] for t in samples(branch)]
+        elif name == "SUBPATTERN":
+            some = samples(arg[3])
+        else:
+            assert name == "MAX_REPEAT", name
+            some = [t * arg[0] for t in samples(arg[2])] if arg[0] else [""]
+        texts = [a + b for a in texts for b in some]
+    return texts
+
+
+def test_every_license_rule_is_tried(spark):
+    texts = []
+    for rule in licenses.RULES:
+        for text in samples(re._parser.parse(rule.pattern)):
+            assert any(k in f" {text} " for k in rule.keywords.split("|")), (rule, text)
+            texts.append(text)
+    texts += ["released under EPL 2.0", "available under MPL 2.0", "Apache-2.0", "GNU General Public v3", "distributed under\nMIT",
+              "released under (MIT", "may not be copied"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    out = {texts[r["doc_id"]]: r["labels"] for r in licenses.scan(frame).where("score > 0").collect()}
+    assert [t for t in texts if t not in out] == []
+    assert [out[t] for t in texts[-7:]] == ["epl-2.0", "mpl-2.0", "apache-2.0", "gpl-3.0", "mit", "mit", "no-derivatives"]
+
+
 def base_spans(text):
     text, out = text or "", []
     for m in re.finditer(secrets.ASSIGN.removeprefix("(?i)"), text, re.I | re.A):
