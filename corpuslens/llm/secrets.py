@@ -83,20 +83,23 @@ def scan(docs: DataFrame, text: str = "text", scope: int = 300, prefix: str = ""
     }
     found = gates.withColumn(f"{prefix}base", F.array_sort(F.concat(*base.values())))
     strong = F.col(f"{prefix}base")
-    # a lone weak part can't be linked: without a secret or place beside it the other patterns needn't run
+
+    def of(role: str) -> Column:
+        ranks = [KINDS.index(k) for k in ("assign", "access", "hex") if ROLE[k] == role]
+        return F.filter(strong, lambda s: reduce(lambda a, b: a | b, [s["rank"] == r for r in ranks]))
+
+    # a lone weak part can't be linked: without a secret or place beside it the other patterns needn't run. Identifiers and
+    # endpoints hold a mark of has_parts, a key doesn't: an access id alone links it
     parts = F.col(f"{prefix}has_parts") & (
         (F.size(strong) > 0) | text_of.rlike(r"[A-Za-z0-9+/_-]{20}"))
+    key_parts = parts | (F.size(of("id")) > 0)
     weak = found.withColumns({
         f"{prefix}identifier": _outside(_spans(text_of, "identifier", IDENTIFIER, parts, None), strong),
         f"{prefix}key": _outside(
-            _spans(text_of, "key", KEY, parts, lambda m: m["hit"].rlike("[0-9]") & m["hit"].rlike("[A-Za-z]")), strong),
+            _spans(text_of, "key", KEY, key_parts, lambda m: m["hit"].rlike("[0-9]") & m["hit"].rlike("[A-Za-z]")), strong),
         f"{prefix}endpoint": _outside(_spans(text_of, "endpoint", ENDPOINT, parts, None), strong),
     })
 
-    def of(role: str) -> Column:
-        ranks = [KINDS.index(k) for k in ("assign", "access", "hex") if ROLE[k] == role]
-        return F.filter(strong, lambda s: reduce(lambda a, b: a | b, [s["rank"] == r for r in ranks]))
-
     ids, places = F.col(f"{prefix}identifier"), F.col(f"{prefix}endpoint")
     keys = weak.withColumn(f"{prefix}keys", F.filter(_outside(F.col(f"{prefix}key"), places), lambda s: _near(
         s, F.concat(of("id"), ids, places), scope)))
