@@ -63,6 +63,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeats(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.passages(table(spark, sf_dir, "documents")).drop("row")
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_license_scan": op2_license_scan,
@@ -74,6 +78,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
     "op10_substring_dedup": op10_substring_dedup,
+    "op10_repeated_passages": op10_repeated_passages,
 }
 
 ORACLES = {"op6_chat_prefixes": oracle.CHAT, "op10_substring_dedup": oracle.SUBSTRINGS}

@@ -182,6 +182,38 @@ def test_repeats_edge_cases(spark):
     assert substrings.repeats(frame.where("false")).count() == 0
 
 
+def test_passages_begin_and_end_anywhere(spark):
+    two = " ".join(f"a{k}" for k in range(28)) + ". " + " ".join(f"b{k}" for k in range(28))
+    plain, short = " ".join(f"c{k}" for k in range(60)), " ".join(f"d{k}" for k in range(29))
+    host = [" ".join(f"{x}{k}" for k in range(40)) for x in "pqrstuvw"]
+    twice = " ".join(f"e{k}" for k in range(35))
+    texts = [f"{host[0]} {two} {host[1]}", f"{host[2]} {two.upper()}\n{host[3]}", f"{host[4]} {plain} {host[5]}", f"é {host[6]}  {plain} {host[7]}.",
+             f"x {short} y", f"z {short} w", None, "", f"{twice} - {twice}", " ".join(["again"] * 100), plain]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r for r in substrings.passages(frame).collect()}
+    assert sorted(out) == [1, 3, 8, 9, 10]
+    cut = {k: texts[k][r["start"]:r["stop"]] for k, r in out.items()}
+    assert cut == {1: two.upper(), 3: plain, 8: twice, 9: " ".join(["again"] * 80), 10: plain}
+    assert [(out[k]["first_doc_id"], out[k]["words"]) for k in sorted(out)] == [(0, 56), (2, 60), (8, 35), (9, 80), (2, 60)]
+    assert all(texts[r["first_doc_id"]][r["first_start"]:].lower().startswith(cut[k].lower()[:50]) for k, r in out.items())
+    assert substrings.passages(frame.where("false")).count() == 0
+    assert not {1, 3} & {r["doc_id"] for r in substrings.repeats(frame).collect()}
+
+
+def test_passages_of_random_lengths_are_found(spark):
+    rng = random.Random(5)
+    texts, want = [], {}
+    for k in range(0, 200, 2):
+        n = rng.randrange(30, 120)
+        words = [[f"w{rng.randrange(10**9)}" for _ in range(m)] for m in (n, *(rng.randrange(60) for _ in range(4)))]
+        texts += [" ".join(words[1] + words[0] + words[2]), " ".join(words[3] + words[0] + words[4])]
+        if k % 3 == 0:  # the whole text is a copy, nothing stands beside it
+            texts[-1] = " ".join(words[0])
+        want[k + 1] = (n, " ".join(words[0]))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: (r["words"], texts[r["doc_id"]][r["start"]:r["stop"]]) for r in substrings.passages(frame).collect()} == want
+
+
 def test_pipeline_stages(spark):
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["quality_rules", "near_dedup", "benchmark_decontamination", "secret_scans", "mix_sources"]
