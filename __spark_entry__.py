@@ -360,7 +360,8 @@ def _loading() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
             oracle.SQL_FRAME),
         "s14_surrogate_keys": (
             lambda i: ingest.with_surrogate_key(
-                i.wp_statements.where("sid % 3 <> 0").select(F.col("sid").alias("source_sid"), "s_date"),
+                ingest.unknown_ids(i.wp_statements.select("sid", "s_date"), i.loaded_claims, ["sid"])
+                .select(F.col("sid").alias("source_sid"), "s_date"),
                 i.loaded_claims, "sid", ["s_date", "source_sid"])
             .select("sid", "source_sid"),
             oracle.SURROGATE),

@@ -62,3 +62,12 @@ def test_known_confusion_counts(spark):
         rows = test_rows(i.model_analysis_rpts, i.ds_metadata, stype)
         got = rows.selectExpr("count(*)", "sum(tp)", "sum(fp)", "sum(tn)", "sum(fn)").first()
         assert tuple(got) == counts
+
+
+def test_surrogate_keys_number_what_was_not_loaded(spark, monkeypatch):
+    from corpuslens import fixtures
+
+    monkeypatch.setitem(fixtures.SQL, "loaded_claims", "select * from {wp_statements} where sid % 5 = 0")
+    got = [r["source_sid"] for r in entry.queries()["s14_surrogate_keys"](spark, SF_DIR).collect()]
+    sids = [r["sid"] for r in fixtures.Inputs(spark, SF_DIR).wp_statements.select("sid").collect()]
+    assert sorted(got) == sorted(s for s in sids if s % 5)
