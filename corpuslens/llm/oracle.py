@@ -44,3 +44,39 @@ select doc_id, min(start)::bigint as start, max(stop)::bigint as stop, sum(words
     arg_min(first_doc_id, start) as first_doc_id, arg_min(first_start, start)::bigint as first_start
 from runs group by doc_id, run having sum(words) >= 30
 """
+
+COLLOCATIONS = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(9), 'abcdefghijklmnopqrstuvwxyz '), '[.,;:!?\n\x0B\f\r]')) as piece
+    from documents),
+listed as (
+    select lang, list_filter(string_split(piece, ' '), lambda w: w <> '') as w from pieces),
+grams as (
+    select lang, unnest(flatten(list_transform(range(1, 5), lambda k: list_transform(
+        range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))))) as phrase
+    from listed),
+sizes as (select lang, sum(len(w))::bigint as n from listed group by lang),
+counted as (
+    select lang, phrase, count(*) as f, string_split(phrase, ' ') as w, len(string_split(phrase, ' ')) as words
+    from grams group by lang, phrase having count(*) >= 30),
+cuts as (
+    select lang, phrase, f, w, unnest(range(1, words)) as k from counted where words > 1),
+scored as (
+    select c.lang, c.phrase, c.f as a, c.k, x.f as l, y.f as r, 2000000::hugeint * c.f // (x.f::hugeint + y.f) as score
+    from cuts c
+    join counted x on x.lang = c.lang and x.phrase = array_to_string(c.w[1:k], ' ')
+    join counted y on y.lang = c.lang and y.phrase = array_to_string(c.w[k + 1:], ' ')),
+best as (
+    select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inner_phrases as (
+    select lang, f, unnest(flatten(list_transform(range(2, words), lambda k: list_transform(
+        range(1, words - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))))) as phrase
+    from counted where words > 2),
+kept as (
+    select b.* from best b where not exists (
+        select 1 from inner_phrases p where p.lang = b.lang and p.phrase = b.phrase and 100::hugeint * p.f >= 80::hugeint * b.a)),
+ranked as (
+    select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join sizes using (lang) where rank <= 2000
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import chat, compression, decontaminate, licenses, mixing, neardups, oracle, rules, secrets, substrings, subwords
+from corpuslens.llm import chat, collocations, compression, decontaminate, licenses, mixing, neardups, oracle, rules, secrets, substrings, subwords
 from corpuslens.llm.common import fold, table
 
 
@@ -67,6 +67,10 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.passages(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_license_scan": op2_license_scan,
@@ -79,6 +83,7 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_substring_dedup": op10_substring_dedup,
     "op10_repeated_passages": op10_repeated_passages,
+    "op11_collocations": op11_collocations,
 }
 
-ORACLES = {"op6_chat_prefixes": oracle.CHAT, "op10_substring_dedup": oracle.SUBSTRINGS}
+ORACLES = {"op6_chat_prefixes": oracle.CHAT, "op10_substring_dedup": oracle.SUBSTRINGS, "op11_collocations": oracle.COLLOCATIONS}
