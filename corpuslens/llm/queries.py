@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import chat, collocations, compression, decontaminate, licenses, mixing, neardups, oracle, rules, secrets, substrings, subwords
+from corpuslens.llm import chat, collocations, compression, decontaminate, licenses, mixing, neardups, oracle, pii, repair, rules, secrets, substrings, subwords
 from corpuslens.llm.common import fold, table
 
 
@@ -71,6 +71,15 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return repair.repair_report(turns, repair.damaged(turns))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_license_scan": op2_license_scan,
@@ -84,6 +93,9 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
     "op10_repeated_passages": op10_repeated_passages,
     "op11_collocations": op11_collocations,
+    "op12_pii_scan": op12_pii_scan,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
-ORACLES = {"op6_chat_prefixes": oracle.CHAT, "op10_substring_dedup": oracle.SUBSTRINGS, "op11_collocations": oracle.COLLOCATIONS}
+ORACLES = {"op6_chat_prefixes": oracle.CHAT, "op10_substring_dedup": oracle.SUBSTRINGS, "op11_collocations": oracle.COLLOCATIONS,
+           "op13_conversation_repair": oracle.REPAIR}

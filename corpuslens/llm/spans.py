@@ -6,27 +6,85 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def matches(text: Column, pattern: Column, size=F.length) -> Column:
-    """Leftmost non-overlapping matches in order: array of (start, stop, hit).
+BLOCK = 64
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, however often it stands in the body."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _running(first: Column, values: Column) -> Column:
+    """first, first + values[0], ...: one more than values. A fold copies what it holds at every step, so only for short arrays."""
+    return F.aggregate(values, F.array(first), lambda done, v: F.concat(done, F.array(F.element_at(done, -1) + v)))
+
+
+def sums_before(values: Column) -> Column:
+    """For each of ``values`` (longs) the sum of those before it, in blocks: by block first, then inside each."""
+    zero = F.lit(0).cast("bigint")
+
+    def blocks(v):
+        last = F.floor((F.size(v) - 1) / BLOCK).cast("int")
+        return F.when(F.size(v) > 0, F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(v, b * BLOCK + 1, F.lit(BLOCK)))).otherwise(
+            F.array().cast("array<array<bigint>>"))
+
+    def placed(parts):
+        totals = F.transform(parts, lambda part: F.aggregate(part, zero, lambda a, x: a + x))
+        starts = F.slice(_running(zero, totals), F.lit(1), F.size(parts))
+        return F.flatten(F.zip_with(
+            parts, starts, lambda part, s: F.slice(_running(s, part), F.lit(1), F.size(part))))
+
+    return let(values.cast("array<bigint>"), lambda v: let(blocks(v), placed))
+
+
+def counts_below(values: Column, others: Column, inclusive: bool = False) -> Column:
+    """For each of ``values`` (longs) how many of ``others`` are smaller (or equal, if ``inclusive``): one sort, one running sum."""
+    first, second = (0, 1) if inclusive else (1, 0)  # of equal numbers the one with 0 comes first
+    kind = "array<struct<at:bigint,tie:int,index:int,one:bigint>>"
+    queries = F.transform(values, lambda v, i: F.struct(v, F.lit(second), i, F.lit(0).cast("bigint"))).cast(kind)
+    counted = F.transform(others, lambda v: F.struct(v, F.lit(first), F.lit(-1), F.lit(1).cast("bigint"))).cast(kind)
+
+    def ranked(events):
+        sums = F.zip_with(events, sums_before(F.transform(events, lambda e: e["one"])), lambda e, n: F.struct(e["index"].alias("index"), n.alias("n")))
+        return F.transform(F.array_sort(F.filter(sums, lambda x: x["index"] >= 0)), lambda x: x["n"])
+
+    return let(F.array_sort(F.concat(queries, counted)), ranked)
+
+
+def overlapping(spans: Column, others: Column, scope: int = 0) -> Column:
+    """For each of ``spans`` (with start and stop) how many of ``others`` overlap it; with a ``scope``, lie within that distance of it."""
+
+    def numbers(end, move=0):
+        return lambda s: (s[end] + move).cast("bigint")
+
+    begun = counts_below(F.transform(spans, numbers("stop", scope)), F.transform(others, numbers("start")), scope > 0)
+    over = counts_below(F.transform(spans, numbers("start", -scope)), F.transform(others, numbers("stop")), scope == 0)
+    return F.zip_with(begun, over, lambda a, b: a - b)
+
+
+def matches(text: Column, pattern: Column, size=F.length, context: int = 0) -> Column:
+    """Leftmost non-overlapping matches in order: array of (start, stop, hit), with ``context`` also (before, after).
 
     ``size`` measures the text between and inside matches; with ``length`` places are code points, stop exclusive.
+    ``before`` and ``after`` are up to ``context`` characters around a match, no further than the next one on either side.
+    Work grows with the text and, but for a share of one in some thousands, with the number of matches.
     """
-    zero = F.lit(0).cast("bigint")
-    hits = F.regexp_extract_all(text, pattern, F.lit(0))
-    gaps = F.split(text, pattern, F.lit(-1))
-    # one gap more than hits: the last pair has no hit
-    pairs = F.zip_with(gaps, hits, lambda gap, hit: F.struct(
-        size(gap).cast("bigint").alias("gap"), size(hit).cast("bigint").alias("size"), hit.alias("hit")))
-    none = F.array().cast("array<struct<start:bigint,stop:bigint,hit:string>>")
-
-    def add(done, pair):
-        start = done["at"] + pair["gap"]
-        stop = start + pair["size"]
-        found = F.struct(start.alias("start"), stop.alias("stop"), pair["hit"].alias("hit"))
-        grown = F.struct(stop.alias("at"), F.concat(done["out"], F.array(found)).alias("out"))
-        return F.when(pair["hit"].isNull(), done).otherwise(grown)
-
-    return F.aggregate(pairs, F.struct(zero.alias("at"), none.alias("out")), add, lambda done: done["out"])
+
+    def placed(found):
+        gaps = found["gaps"]  # one more than hits
+        ends = F.transform(found["hits"], lambda hit, k: (size(F.get(gaps, k)) + size(hit)).cast("bigint"))
+
+        def span(hit, before, k):
+            start = before + size(F.get(gaps, k)).cast("bigint")
+            around = [
+                F.right(F.get(gaps, k), F.lit(context)).alias("before"), F.left(F.get(gaps, k + 1), F.lit(context)).alias("after"),
+            ] if context else []
+            return F.struct(start.alias("start"), (start + size(hit).cast("bigint")).alias("stop"), hit.alias("hit"), *around)
+
+        pairs = F.zip_with(found["hits"], sums_before(ends), lambda hit, before: F.struct(hit.alias("hit"), before.alias("before")))
+        return F.transform(pairs, lambda p, k: span(p["hit"], p["before"], k))
+
+    return let(F.struct(F.regexp_extract_all(text, pattern, F.lit(0)).alias("hits"), F.split(text, pattern, F.lit(-1)).alias("gaps")), placed)
 
 
 def count_words(text: Column, gap: str) -> Column:
