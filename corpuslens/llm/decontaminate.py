@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from corpuslens.llm.common import filter_texts, map_texts, strings
 from corpuslens.llm.compression import word_codes
 
-WORDS = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff"
+WORDS = re.compile(rf"[{_UNSPACED}]|[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F{_UNSPACED}]+")  # scripts without blanks: a character is a word
+_CHARACTER = re.compile(f"[{_UNSPACED}]")
 GRAM = 3
-MIN_WORDS = 3  # shorter items can't be told from ordinary text
+MIN_WORDS = 3  # shorter items take no edit; they are looked up as they stand
 TABLE_BITS = 20
 GROUP_WORDS = 1 << 19
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -29,9 +31,14 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _grams(codes: np.ndarray) -> np.ndarray:
-    n = len(codes) - GRAM + 1
-    return _mixed(sum(codes[k:n + k] * _ODD[k] for k in range(GRAM))) if n > 0 else np.zeros(0, np.uint64)
+def item_codes(text: str) -> np.ndarray:
+    """A hash of each of the text's WORDS."""
+    return word_codes(text if text.isascii() else _CHARACTER.sub(r" \g<0> ", text))
+
+
+def _grams(codes: np.ndarray, size: int = GRAM) -> np.ndarray:
+    n = len(codes) - size + 1
+    return _mixed(sum(codes[k:n + k] * _ODD[k] for k in range(size))) if n > 0 else np.zeros(0, np.uint64)
 
 
 def edits_allowed(n: int, share: float) -> int:
@@ -127,6 +134,12 @@ class Index:
             owner.append(np.full(len(g), i))
             offset.append(np.arange(len(g)))
         grams, owner, offset = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (grams, owner, offset))
+        self.short = {}
+        for n in range(1, MIN_WORDS):
+            mine = np.flatnonzero(self.size == n)
+            keys = np.concatenate([_grams(self.codes[i], n) for i in mine]) if len(mine) else np.zeros(0, np.uint64)
+            order = np.argsort(keys, kind="stable")
+            self.short[n] = keys[order], mine[order]
         order = np.argsort(grams, kind="stable")
         self.grams, self.owner, self.offset = grams[order].astype(np.uint64), owner[order], offset[order]
         self.table = np.zeros(1 << TABLE_BITS, bool)
@@ -147,6 +160,14 @@ class Index:
 
     def matches(self, docs: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, int]]:
         """(document, item, start, stop, distance) by words, one for each place of an item in a document."""
+        for n, (keys, of) in self.short.items():
+            for k, c in enumerate(docs if len(keys) else ()):
+                found = _grams(c, n)
+                lo, hi = np.searchsorted(keys, found, "left"), np.searchsorted(keys, found, "right")
+                for at in np.flatnonzero(hi > lo):
+                    for i in of[lo[at]:hi[at]]:
+                        if np.array_equal(self.codes[i], c[at:at + n]):
+                            yield k, int(i), int(at), int(at + n), 0
         pad = int(2 * self.size.max(initial=0)) + 8
         total = sum(len(c) for c in docs) + (len(docs) + 1) * pad
         codes, begin, stop = np.zeros(total, np.uint64), [], []
@@ -208,15 +229,15 @@ class Index:
 def indexes(items: DataFrame, block_items: int = 20_000, share: float = 0.2) -> Iterator[Index]:
     """The items in blocks of about ``block_items``, each small enough to go to every task.
 
-    Items under MIN_WORDS words are left out; equal ids or texts are items of their own.
+    Items without words are left out; equal ids or texts are items of their own.
     """
     known = items.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     blocks = max(1, math.ceil(known.count() / block_items))
     for block in range(blocks):
         rows = known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         rows = sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"]))
-        codes = [(r["item_id"], word_codes(r["text"])) for r in rows]
-        codes = [(k, c) for k, c in codes if len(c) >= MIN_WORDS]
+        codes = [(r["item_id"], item_codes(r["text"])) for r in rows]
+        codes = [(k, c) for k, c in codes if len(c)]
         if codes:
             yield Index([k for k, _ in codes], [c for _, c in codes], share)
 
@@ -227,7 +248,7 @@ def _groups(texts: Iterator[str]) -> Iterator[tuple[list[int], list[str], list[n
     for k, text in enumerate(texts):
         at.append(k)
         held.append(text)
-        codes.append(word_codes(text))
+        codes.append(item_codes(text))
         words += len(codes[-1])
         if words >= GROUP_WORDS:
             yield at, held, codes

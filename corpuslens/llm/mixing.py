@@ -104,6 +104,7 @@ def mix(
     seed: int = 17,
     rows_per_bucket: int = 2000,
     fan_in: int = 64,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Copies of every document so that each source's words come near its target.
 
@@ -116,14 +117,15 @@ def mix(
     ``weight_of`` gets all sources in code point order (null last). Sources are a configured list: their
     totals, one row per source, go through the driver. A null or empty text has size 0 and takes nothing; a
     null id or source is a value like any other; a repeated row counts as a document of its own.
-    Only doc_id, text and source are read, so other columns can't clash. Draws depend on hashes and the seed
+    Only doc_id, text and source are read, so other columns can't clash; ``carry`` names columns to pass through (a row's
+    number, say, to find its text by). Draws depend on hashes and the seed
     alone: reruns and lost tasks give the same rows.
 
-    Returns doc_id, size, source, source_size, target, copies, taken.
+    Returns doc_id, size, source, source_size, target, copies, taken and the carried columns.
     """
     spark = docs.sparkSession
     size = count_words(F.coalesce("text", F.lit("")), SPACE)
-    sized = stored(docs.select("doc_id", "source", size.alias("size")), "mix-sizes")
+    sized = stored(docs.select("doc_id", "source", size.alias("size"), *carry), "mix-sizes")
     totals = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).collect()
     totals.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     names = [r["source"] for r in totals]
@@ -146,7 +148,7 @@ def mix(
         "order": order,
         "bucket": F.pmod(order, F.lit(buckets)).cast("bigint"),
     })
-    columns = ["doc_id", "size", "rank", "base", "part", "order", "bucket"]
+    columns = ["doc_id", "size", "rank", "base", "part", "order", "bucket", *carry]
     schema = wanted.select(columns).schema
     done, level, keys = [], 0, ["bucket"]
     rest = wanted.select(columns)
@@ -169,4 +171,4 @@ def mix(
     copies = F.col("base") + F.round("part").cast("bigint")
     return settled.join(F.broadcast(plan), "rank").select(
         "doc_id", "size", F.col("__source").alias("source"), "source_size", "target",
-        copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+        copies.alias("copies"), (copies * F.col("size")).alias("taken"), *carry)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from corpuslens.llm.common import map_texts, stored, strings, texts_of
 from corpuslens.llm.components import components
 from corpuslens.llm.subwords import hash_words
+from corpuslens.plans.ranks import global_rank
 
 SHINGLE = 5
 HALVES, ROWS = 12, 4  # two collections of HALVES hashes of ROWS minhashes each: 96 minhashes give 144 tables of 8
@@ -287,12 +288,19 @@ def link(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``link`` keeps, one row per doc_id, with all their columns; rows without doc_id stay."""
-    kept = link(docs)
-    gone = kept.where("not kept").select(F.col("doc_id").alias("__gone"))
-    rest = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1 and doc_id is not null").select(
-        F.col("doc_id").alias("__again"))
-    once = rest.join(again, F.col("doc_id") == F.col("__again"), "left_anti")
-    repeated = rest.join(again, F.col("doc_id") == F.col("__again"), "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(repeated)
+    """The rows of ``docs`` that ``link`` keeps, with all their columns; rows without doc_id stay.
+
+    Where doc_ids repeat, every row is a document of its own, in order of doc_id and text: equal and linked rows leave one, and a
+    text that is linked with nothing stays whatever else has its doc_id.
+    """
+    named = docs.where("doc_id is not null")
+    if named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty():
+        gone = link(docs).where("not kept").select(F.col("doc_id").alias("__gone"))
+        return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    place = "place"
+    while place in {c.lower() for c in docs.columns}:
+        place += "_"
+    numbered = stored(global_rank(named, ["doc_id", "text"], place), "neardup-numbered")
+    gone = link(numbered.select(F.col(place).alias("doc_id"), "text")).where("not kept").select(F.col("doc_id").alias("__gone"))
+    left = numbered.join(gone, F.col(place) == F.col("__gone"), "left_anti").select(*docs.columns)
+    return left.unionByName(docs.where("doc_id is null"))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.llm.spans import matches
+from corpuslens.llm.spans import matches, overlapping
 
 # fixed values: the three base kinds. The lengths that ACCESS and HEX ask for are in the pattern: a run that is too short
 # holds no longer match, so the leftmost matches are the same as those of the bare runs less the short ones
@@ -38,15 +38,18 @@ def _spans(text: Column, kind: str, pattern: str, gate: Column, keep) -> Column:
     return F.when(gate, spans.cast(_SPAN)).otherwise(F.array().cast(_SPAN))
 
 
-def _near(span: Column, others: Column, scope: int) -> Column:
-    """Whether one of ``others`` overlaps the span widened by ``scope`` on both sides."""
-    return F.exists(
-        others, lambda o: (o["start"] <= span["stop"] + scope) & (o["stop"] >= span["start"] - scope))
+def _near(spans: Column, others: Column, scope: int) -> Column:
+    """Those of ``spans`` with one of ``others`` within ``scope`` on either side: an interval join by sorted ends."""
+    return F.array_compact(F.zip_with(spans, overlapping(spans, others, scope), lambda s, n: F.when(n > 0, s)))
 
 
 def _outside(spans: Column, others: Column) -> Column:
     """Those of ``spans`` that overlap none of ``others``."""
-    return F.filter(spans, lambda s: ~F.exists(others, lambda o: (o["start"] < s["stop"]) & (o["stop"] > s["start"])))
+    return F.array_compact(F.zip_with(spans, overlapping(spans, others), lambda s, n: F.when(n == 0, s)))
+
+
+def _if_any(spans: Column, work: Column) -> Column:
+    return F.when(F.size(spans) > 0, work).otherwise(spans)
 
 
 def _named(spans: Column) -> Column:
@@ -66,23 +69,34 @@ def scan(docs: DataFrame, text: str = "text", scope: int = 300, prefix: str = ""
     All in column expressions, one pass per pattern over texts that its gate lets through; nothing is shuffled. A null
     text is empty and has no spans. Every row is scanned on its own, so repeated rows give equal spans.
     """
+    taken, work = {c.lower() for c in docs.columns}, "__scan_"
+    while any(c.startswith(work) for c in taken):  # what is worked out on the way stands under names of its own
+        work += "_"
+    base_name, linked_name = f"{prefix}base", f"{prefix}linked"
+    if {base_name.lower(), linked_name.lower()} & taken:
+        raise ValueError(f"{base_name} or {linked_name} is a column already; give another prefix")
+
+    def at(name: str) -> Column:
+        return F.col(f"{work}{name}")
+
     whole = F.coalesce(F.col(text), F.lit(""))
-    gates = docs.withColumns({
-        f"{prefix}whole": whole,
-        f"{prefix}has_assign": whole.rlike(r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]"),
-        f"{prefix}has_access": whole.contains("AKIA"),
-        f"{prefix}has_hex": whole.rlike(r"[0-9a-f]{24}"),
-        f"{prefix}has_parts": whole.contains("=") | whole.contains(":"),
-    })
-    text_of = F.col(f"{prefix}whole")
+    rows = docs.withColumns({f"{work}{n}": c for n, c in {
+        "whole": whole, "has_assign": whole.rlike(r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]"),
+        "has_access": whole.contains("AKIA"), "has_hex": whole.rlike(r"[0-9a-f]{24}"),
+        "has_parts": whole.contains("=") | whole.contains(":")}.items()})
+    text_of = at("whole")
     base = {
-        "assign": _spans(text_of, "assign", ASSIGN, F.col(f"{prefix}has_assign"),
+        "assign": _spans(text_of, "assign", ASSIGN, at("has_assign"),
                          lambda m: F.length(F.regexp_extract(m["hit"], ASSIGN, 2)) >= 6),
-        "access": _spans(text_of, "access", ACCESS, F.col(f"{prefix}has_access"), None),
-        "hex": _spans(text_of, "hex", HEX, F.col(f"{prefix}has_hex"), None),
+        "access": _spans(text_of, "access", ACCESS, at("has_access"), None),
+        "hex": _spans(text_of, "hex", HEX, at("has_hex"), None),
     }
-    found = gates.withColumn(f"{prefix}base", F.array_sort(F.concat(*base.values())))
-    strong = F.col(f"{prefix}base")
+
+    def add(rows: DataFrame, **fields: Column) -> DataFrame:
+        return rows.withColumns({f"{work}{n}": c.cast(_SPAN) for n, c in fields.items()})
+
+    rows = add(rows, base=F.array_sort(F.concat(*base.values())))
+    strong = at("base")
 
     def of(role: str) -> Column:
         ranks = [KINDS.index(k) for k in ("assign", "access", "hex") if ROLE[k] == role]
@@ -90,27 +104,20 @@ def scan(docs: DataFrame, text: str = "text", scope: int = 300, prefix: str = ""
 
     # a lone weak part can't be linked: without a secret or place beside it the other patterns needn't run. Identifiers and
     # endpoints hold a mark of has_parts, a key doesn't: an access id alone links it
-    parts = F.col(f"{prefix}has_parts") & (
-        (F.size(strong) > 0) | text_of.rlike(r"[A-Za-z0-9+/_-]{20}"))
+    parts = at("has_parts") & ((F.size(strong) > 0) | text_of.rlike(r"[A-Za-z0-9+/_-]{20}"))
     key_parts = parts | (F.size(of("id")) > 0)
-    weak = found.withColumns({
-        f"{prefix}identifier": _outside(_spans(text_of, "identifier", IDENTIFIER, parts, None), strong),
-        f"{prefix}key": _outside(
-            _spans(text_of, "key", KEY, key_parts, lambda m: m["hit"].rlike("[0-9]") & m["hit"].rlike("[A-Za-z]")), strong),
-        f"{prefix}endpoint": _outside(_spans(text_of, "endpoint", ENDPOINT, parts, None), strong),
-    })
-
-    ids, places = F.col(f"{prefix}identifier"), F.col(f"{prefix}endpoint")
-    keys = weak.withColumn(f"{prefix}keys", F.filter(_outside(F.col(f"{prefix}key"), places), lambda s: _near(
-        s, F.concat(of("id"), ids, places), scope)))
-    secrets = F.concat(of("secret"), F.col(f"{prefix}keys"))
-    linked = keys.withColumn(f"{prefix}linked", F.array_sort(F.concat(
-        F.col(f"{prefix}keys"), F.filter(F.concat(ids, places), lambda s: _near(s, secrets, scope)))))
-    return linked.select(*docs.columns, f"{prefix}base", f"{prefix}linked") if _unique(docs) else linked
-
-
-def _unique(docs: DataFrame) -> bool:
-    return len({c.lower() for c in docs.columns}) == len(docs.columns)
+    rows = add(
+        rows, identifier=_spans(text_of, "identifier", IDENTIFIER, parts, None),
+        key=_spans(text_of, "key", KEY, key_parts, lambda m: m["hit"].rlike("[0-9]") & m["hit"].rlike("[A-Za-z]")),
+        endpoint=_spans(text_of, "endpoint", ENDPOINT, parts, None))
+    rows = add(rows, **{f"free_{n}": _if_any(at(n), _outside(at(n), strong)) for n in ("identifier", "key", "endpoint")})
+    ids, keys, places = at("free_identifier"), at("free_key"), at("free_endpoint")
+    rows = add(rows, lone_key=_if_any(keys, _outside(keys, places)))
+    rows = add(rows, keys=_if_any(at("lone_key"), _near(at("lone_key"), F.concat(of("id"), ids, places), scope)))
+    secrets, others = F.concat(of("secret"), at("keys")), F.concat(ids, places)
+    rows = add(rows, linked=F.array_sort(F.concat(at("keys"), _if_any(others, _near(others, secrets, scope)))))
+    done = rows.withColumns({base_name: strong, linked_name: at("linked")})
+    return done.drop(*[c for c in done.columns if c.startswith(work)])
 
 
 def report(docs: DataFrame, scope: int = 300) -> DataFrame:
@@ -131,8 +138,11 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", scope: int = 300) -> DataFra
 
     Overlapping spans become one mark. Texts without spans, null ones too, stay as they are.
     """
-    found = scan(docs, scope=scope, prefix="__")
-    text, spans = F.col("text"), F.array_sort(F.concat("__base", "__linked"))
+    prefix = "__"
+    while any(c.lower() in (f"{prefix}base", f"{prefix}linked", f"{prefix}text") for c in docs.columns):
+        prefix += "_"
+    found = scan(docs, scope=scope, prefix=prefix)
+    text, spans = F.col("text"), F.array_sort(F.concat(f"{prefix}base", f"{prefix}linked"))
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
 
     def add(done, s):
@@ -143,8 +153,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", scope: int = 300) -> DataFra
 
     clean = F.aggregate(spans, start, add, lambda done: F.concat(
         done["out"], F.substring(text, done["at"] + 1, F.length(text) - done["at"])))
-    out = found.withColumn("__text", F.when(F.size(spans) > 0, clean).otherwise(text))
-    changed = {"text": F.col("__text")}
+    out = found.withColumn(f"{prefix}text", F.when(F.size(spans) > 0, clean).otherwise(text))
+    changed = {"text": F.col(f"{prefix}text")}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.size(spans) > 0, F.length("__text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        changed["n_chars"] = F.when(F.size(spans) > 0, F.length(f"{prefix}text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return out.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])

@@ -32,12 +32,20 @@ def _bucket(code: np.ndarray, kind: int) -> np.ndarray:
     return (((code ^ (code >> np.uint64(32))) * _P) >> np.uint64(64 - BITS)).astype(np.int32)
 
 
-def _pieces(raw: bytes) -> list[bytes]:
-    """The text in pieces of about ``CHUNK`` bytes that end before white space, so working arrays stay small."""
+def _pieces(raw: bytes, blank: np.ndarray) -> list[bytes]:
+    """The text in pieces that end before a byte of ``blank``, so that no word is cut and working arrays stay small.
+
+    A piece has about ``CHUNK`` bytes, more where so many hold no blank.
+    """
     out, at = [], 0
     while len(raw) - at > CHUNK:
-        cut = max(raw.rfind(b, at + 1, at + CHUNK) for b in (b" ", b"\n", b"\t"))
-        cut = cut if cut > at else at + CHUNK
+        near = np.flatnonzero(blank[np.frombuffer(raw, np.uint8, CHUNK - 1, at + 1)])
+        cut, ahead = at + 1 + int(near[-1]) if len(near) else 0, at + CHUNK
+        while not cut and ahead < len(raw):
+            some = np.flatnonzero(blank[np.frombuffer(raw, np.uint8, min(CHUNK, len(raw) - ahead), ahead)])
+            cut, ahead = ahead + int(some[0]) if len(some) else 0, ahead + CHUNK
+        if not cut:
+            break
         out.append(raw[at:cut])
         at = cut
     return [*out, raw[at:]]
@@ -46,7 +54,7 @@ def _pieces(raw: bytes) -> list[bytes]:
 def hash_words(text: str, folded: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each word of the whole text; ``folded`` maps bytes, those between words to a space."""
     out = []
-    for piece in _pieces(text.encode("utf-8", "surrogatepass")):
+    for piece in _pieces(text.encode("utf-8", "surrogatepass"), folded == 32):
         b = folded[np.frombuffer(b" " + piece + b" ", np.uint8)]
         space, x = b == 32, b.astype(np.uint64)
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1
@@ -85,7 +93,7 @@ def _features(raw: bytes) -> np.ndarray:
 
 def features(text: str):
     """Buckets of all words, word pairs and character n-grams of one whole text, a piece at a time."""
-    for piece in _pieces(text.encode("utf-8", "surrogatepass")):
+    for piece in _pieces(text.encode("utf-8", "surrogatepass"), _SPACE):
         yield _features(piece)
 
 

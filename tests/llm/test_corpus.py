@@ -226,7 +226,10 @@ def test_pipeline_stages(spark):
     counts = dict(steps)
     assert 1000 > counts["quality_rules"] > counts["near_dedup"] > counts["benchmark_decontamination"]
     assert counts["benchmark_decontamination"] == counts["secret_scans"] == counts["mix_sources"]
-    assert sorted(docs.collect()) == sorted(corpus_pipeline.run(spark, SF).collect())
+    assert docs.columns == [*columns, "size", "source_size", "target", "copies", "taken"]
+    got = {r["doc_id"]: r for r in docs.collect()}
+    assert all(r["text"] and r["size"] == len(r["text"].encode().split()) for r in got.values())
+    assert sorted(docs.drop("text").collect()) == sorted(corpus_pipeline.run(spark, SF).drop("text").collect())
 
 
 def test_pipeline_with_odd_rows(spark):
@@ -237,3 +240,32 @@ def test_pipeline_with_odd_rows(spark):
             out = stage(spark, docs, SF)
             assert out.count() <= docs.count()
             assert name == "mix_sources" or out.columns == docs.columns
+
+
+def test_dedup_keeps_unlinked_texts_of_a_repeated_id(spark):
+    a, b = (" ".join(f"{k}{i}" for i in range(60)) for k in "ab")
+    rows = [(1, a, "x", "s", 1), (1, b, "x", "s", 1), (2, b, "x", "s", 1), (2, a + " end", "x", "s", 1), (2, "lone text of its own", None, None, 0),
+            (3, b, "x", "s", 1), (None, a, None, None, None), (None, a, None, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("place", F.lit("mine"))
+    got = sorted((r["doc_id"] or 0, r["text"]) for r in neardups.deduplicated(docs).collect())
+    assert got == sorted([(0, a), (0, a), (1, a), (1, b), (2, "lone text of its own")])
+
+
+def test_words_of_very_long_texts_stay_whole(spark):
+    rows = [(1, "\r".join(f"w{k}" for k in range(300_000)), None, None, 0), (2, ",".join(f"w{k}" for k in range(300_000)), None, None, 0),
+            (3, "a b c d e f " + "x" * 2_500_000 + " g h", None, None, 0)]
+    got = {r["doc_id"]: r["n_shingles"] for r in neardups.link(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: 299_996, 2: 1, 3: 5}
+
+
+def test_benchmark_items_in_long_unspaced_and_short_texts(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    chinese = "\u6211\u4eec\u7684\u8bad\u7ec3\u6570\u636e\u91cc\u4e0d\u5e94\u8be5\u51fa\u73b0\u8fd9\u4e00\u53e5\u8bdd\u56e0\u4e3a\u5b83\u662f\u8bc4\u6d4b\u9898\u76ee"
+    many = ",".join(f"w{k}" for k in range(400_000))
+    texts = {1: f"{many} {item}", 2: f"{many} {item} tail,of the text", 3: f"\u524d{chinese}\u540e", 4: "the Grail-Quest, again", 5: "the grail, a quest", 6: "\u6211\u4eec"}
+    docs = spark.createDataFrame([(k, t, None, None, 0) for k, t in texts.items()], SCHEMA)
+    items = spark.createDataFrame([(10, item), (11, chinese), (12, "Grail quest"), (13, ""), (14, None)], "item_id long, text string")
+    found = decontaminate.scan(docs, items).collect()
+    got = {(r["doc_id"], r["item_id"]): texts[r["doc_id"]][r["start"]:r["stop"]] for r in found}
+    assert got == {(1, 10): item, (2, 10): item, (3, 11): chinese, (4, 12): "Grail-Quest"}
+    assert sorted(r["doc_id"] for r in decontaminate.clean(docs, items).collect()) == [5, 6]

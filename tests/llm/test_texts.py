@@ -291,3 +291,14 @@ def test_examples_hold_all_turns_before(spark):
     rows = sorted(chat.prefix_examples(frame).collect(), key=lambda r: r["example"])
     assert [[t for _, t in chat.parse(r["text"])] for r in rows] == [[f"t{k}" for k in range(n)] for n in (2, 4, 6)]
     assert [r["text"][r["loss_start"]:r["loss_end"]] for r in rows] == ["t1", "t3", "t5"]
+
+
+def test_secret_scan_with_clashing_columns_and_many_matches(spark):
+    frame = spark.createDataFrame([(1, "user_id: bob9 then wJalrXUtnFEMI/K7MDENG1bPxRfiCY", "q", "r")], "doc_id long, text string, `__keys` string, `__base` string")
+    row = secrets.redact(frame).first()
+    assert (row["__keys"], row["__base"]) == ("q", "r") and "wJalr" not in row["text"]
+    assert secrets.scan(frame).columns == [*frame.columns, "base", "linked"]
+    many = spark.createDataFrame([(1, "token = abcdef1, " * 8000 + "host=db.example.com " * 8000)], "doc_id long, text string")
+    row = secrets.report(many).first()
+    assert row["n_assign"] == 8000 and row["spans"].count("endpoint:") >= 15  # those within reach of a secret
+    assert secrets.report(many.where("false")).collect() == [] and secrets.redact(many.where("false")).collect() == []
