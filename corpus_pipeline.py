@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpuslens.llm import decontaminate, mixing, neardups, rules, secrets
 from corpuslens.llm.common import stored, table
@@ -35,9 +36,18 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, in as many copies as the mix takes: doc_id, source, size, source_size, target, copies, taken."""
-    mixed = mixing.mix(docs, round_weights)
-    return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
+    """What is left, with its columns and texts and how often the mix takes it: size, source_size, target, copies, taken.
+
+    A column of the documents with one of these names gives way to it.
+    """
+    added = ["size", "source_size", "target", "copies", "taken"]
+    place = "place"
+    while place in {c.lower() for c in docs.columns}:
+        place += "_"
+    rows = stored(docs.withColumn(place, F.monotonically_increasing_id()), "mix-rows")
+    mixed = mixing.mix(rows, round_weights, carry=[place]).select(place, *added)
+    kept = [c for c in docs.columns if c.lower() not in added]
+    return rows.select(place, *kept).join(mixed, place).select(*kept, *added)
 
 
 STAGES: list[tuple[str, Stage]] = [
