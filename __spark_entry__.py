@@ -109,6 +109,10 @@ def _corpus() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
         found = vectors.close_pairs(i.claim_vectors, i.truth_vectors, 0.023, size=64)
         return found.withColumn("l2dist", F.round("l2dist", 9))
 
+    def candidates(i):
+        found = vectors.close_pairs(i.claim_vectors, i.truth_vectors, 0.023, size=64)
+        return vectors.with_copies(found, vectors.representatives(i.claim_vectors), vectors.representatives(i.truth_vectors))
+
     return {
         "d01_falsehoods": (lambda i: corpus.falsehoods(i.wp_statements), oracle.FALSEHOODS),
         "d02_truths": (lambda i: corpus.truths(*truth_args(i)), oracle.TRUTHS),
@@ -140,6 +144,9 @@ def _corpus() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
         "d16_model_rpt_gt": (lambda i: corpus.ground_truth_set(i.truth_snapshot, i.wp_statements), oracle.GROUND_TRUTH),
         "d17_converged_sample": (lambda i: i.converged, oracle.CONVERGED),
         "d18_close_pairs": (pairs, oracle.CLOSE_PAIRS),
+        "d18_candidates": (
+            lambda i: candidates(i).withColumn("l2dist", F.round("l2dist", 9)), oracle.CLOSE_CANDIDATES),
+        "d18_near_duplicates": (lambda i: corpus.near_duplicates(candidates(i)), oracle.CLOSE_NEAR_DUPLICATES),
         "d19_split_by_share": (lambda i: corpus.split_by_share(i.falsehood_rows), oracle.SPLIT),
     }
 

@@ -344,6 +344,12 @@ CLOSE_PAIRS = """with v as (select vec_id id, list_transform(embedding, lambda x
       round(list_distance(a.c, b.t), 9) l2dist
     from v a, v b where list_distance(a.c, b.t) < 0.023 group by a.c, b.t"""
 
+CLOSE_CANDIDATES = """with v as (select vec_id id, list_transform(embedding, lambda x: cast(x as double)) t,
+      list_transform(embedding, lambda x: round(cast(x as double), 2)) c from embeddings)
+    select a.id falsehood_id, b.id truth_id, round(list_distance(a.c, b.t), 9) l2dist
+    from v a, v b where list_distance(a.c, b.t) < 0.023"""
+CLOSE_NEAR_DUPLICATES = f"select distinct truth_id from ({CLOSE_CANDIDATES}) where l2dist < 0.02"
+
 # --- queues and feedback --------------------------------------------------------------------------
 
 TEST_END = """(select test_end_date from {model_metadata} m join {ds_metadata} d on m.dsid = d.dsid

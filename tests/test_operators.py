@@ -128,7 +128,8 @@ def test_close_pairs_equal_all_pairs(spark):
     claims = [(i, v) for i, v in enumerate(base)] + [(100 + i, base[0]) for i in range(30)]
     truths = list(enumerate(moved))
     schema = "id bigint, vector array<double>"
-    found = vectors.close_pairs(spark.createDataFrame(claims, schema), spark.createDataFrame(truths, schema), 0.2, size=8)
+    frames = spark.createDataFrame(claims, schema), spark.createDataFrame(truths, schema)
+    found = vectors.close_pairs(*frames, 0.2, size=8, most=4)
 
     def dist(a, b):
         return sum((x - y) ** 2 for x, y in zip(a, b)) ** 0.5
@@ -138,6 +139,35 @@ def test_close_pairs_equal_all_pairs(spark):
     assert {r.n_falsehoods for r in found.where("falsehood_id = 0").collect()} == {31}
     firsts = vectors.representatives(spark.createDataFrame(claims, schema)).where("id >= 100")
     assert {r.representative for r in firsts.collect()} == {0}
+    every = vectors.with_copies(found, *(vectors.representatives(f) for f in frames))
+    whole = {(i, j) for i, a in claims for j, b in truths if dist(a, b) < 0.2}
+    assert sorted((r.falsehood_id, r.truth_id) for r in every.collect()) == sorted(whole)
+
+
+def test_candidates_stay_few_as_vectors_grow(spark):
+    """A cloud four times as large and as dense has four times the candidates, not sixteen times."""
+    rng = random.Random(9)
+
+    def candidates(n):
+        rows = [(i, [rng.gauss(0, 1) for _ in range(12)]) for i in range(n)]
+        frame = spark.createDataFrame(rows, "id bigint, vector array<double>")
+        truths, claims = vectors.partitioned(*2 * [frame.selectExpr("id", "vector as p")], 12, 0.02, 16, ways=4)
+        assert truths.count() == n and truths.groupBy("cell").count().agg({"count": "max"}).first()[0] <= 16
+        return claims.join(truths.withColumnRenamed("id", "truth"), "cell").count() / n
+
+    small, large = candidates(500), candidates(2000)
+    assert large < 1.7 * small
+
+
+def test_cells_that_cannot_be_cut(spark):
+    """Vectors that differ only where no direction looks stay in one cell and still meet."""
+    rows = [(i, [0.0, 0.0, i * 1e-3]) for i in range(40)]
+    frame = spark.createDataFrame(rows, "id bigint, vector array<double>")
+    same = frame.selectExpr("id", "slice(vector, 1, 2) as p")
+    truths, claims = vectors.partitioned(same, same, 2, 0.01, 4)
+    assert truths.select("cell").distinct().count() == 1 and claims.count() == 40
+    found = vectors.close_pairs(frame, frame, 0.0015, size=3, dims=2, most=4)
+    assert found.count() == 40 + 2 * 39
 
 
 def test_late_labels(spark):
