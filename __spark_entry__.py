@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from corpuslens import oracle
 from corpuslens.fixtures import INDEX_URL, SPEAKER, Inputs
-from corpuslens.operators import corpus, distributions, evaluate, feedback, ingest, queues, reports, threads, vectors
+from corpuslens.functions import text
+from corpuslens.operators import corpus, distributions, evaluate, feedback, feeds, ingest, queues, reports, threads, vectors
 from corpuslens.plans.slices import NONTWEET, TWEET
 from corpuslens.schemas import KEYS, TABLES
-from corpuslens.session import shared_folder
-from corpuslens.sources import claims, transcripts, tweets
+from corpuslens.session import materialise, shared_folder
+from corpuslens.sources import claims, metadata, transcripts, tweets
 from corpuslens.sources.html import Field, Step, extract
 from corpuslens.streaming.ingest import keyed_sink
 from corpuslens.streaming.threads import thread_stream
@@ -32,6 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 STYPE = {"all": None, "nontweet": NONTWEET, "tweet": TWEET}
 TILES = {"all": 25, "nontweet": 25, "tweet": 10}
 SCORE_DATE = "2020-06-01 00:00:00"
+PARTS = 32  # folders of a table laid out by key; a real one takes more
 THREAD_LATENCY, THREAD_NOW, THREAD_DELAY = 6 * 3600, datetime(2024, 1, 30, 12), "8 hours"
 
 
@@ -182,6 +184,17 @@ def _queues_and_feedback() -> dict[str, tuple[Callable[[Inputs], DataFrame], str
         rows = feedback.with_late_labels(published, updates, others, ids, late)
         return rows.select("dc_tid", *ids, "prediction", "actual_label", "score_date")
 
+    def written_back(i, published, updates, others, ids):
+        """The published table after its late labels were put into it, twice."""
+        path, late = shared_folder(i.spark, "published"), F.lit(SCORE_DATE).cast("timestamp")
+        feeds.laid_out(published, path, ["dc_tid"], PARTS)
+        for _ in range(2):
+            table = i.spark.read.schema(published.schema).parquet(path).drop("slot")
+            due = feedback.with_late_labels(table, updates, others, ids, late)
+            feeds.write_back(path, ["dc_tid"], due, i.spark, PARTS)
+        return i.spark.read.schema(published.schema).parquet(path).select(
+            "dc_tid", *ids, "prediction", "actual_label", "score_date")
+
     return {
         "k01_statements_to_analyse": (
             lambda i: queues.statements_to_analyse(
@@ -206,6 +219,14 @@ def _queues_and_feedback() -> dict[str, tuple[Callable[[Inputs], DataFrame], str
         "l04_published_tweet_updates": (tweet_updates, oracle.with_tables(oracle.TWEET_UPDATES, **oracle.SCORED)),
         "l05_published_statement_nonlabel_updates": (statement_others, oracle.with_tables(oracle.STATEMENT_NONLABEL)),
         "l06_published_tweet_nonlabel_updates": (tweet_others, oracle.with_tables(oracle.TWEET_NONLABEL)),
+        "l07_statement_write_back": (
+            lambda i: written_back(
+                i, i.infsvc_stmts_published, statement_updates(i), statement_others(i), ["tid", "sid"]),
+            oracle.late_labels(
+                "infsvc_stmts_published", ["tid", "sid"], oracle.STATEMENT_UPDATES, oracle.STATEMENT_NONLABEL)),
+        "l07_tweet_write_back": (
+            lambda i: written_back(i, i.infsvc_tweets_published, tweet_updates(i), tweet_others(i), ["thread_id"]),
+            oracle.late_labels("infsvc_tweets_published", ["thread_id"], oracle.TWEET_UPDATES, oracle.TWEET_NONLABEL)),
         "l07_late_statement_labels": (
             lambda i: labelled(i.infsvc_stmts_published, statement_updates(i), statement_others(i), ["tid", "sid"]),
             oracle.late_labels(
@@ -264,6 +285,13 @@ def _sources() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
         found = claims.claims(i.claim_pages)
         return found.groupBy("s_date", "pinnochios", "repeats").agg(F.count(F.lit(1)).alias("n"))
 
+    def split_file(i):
+        """The newest split, written to a JSON file as a user would keep it and read back."""
+        path = shared_folder(i.spark, "split-dates")
+        newest = i.ds_metadata.where("ds_type = 'converged_filtered'").orderBy(F.desc("dsid")).limit(1)
+        newest.drop("dsid", "ds_type").coalesce(1).write.json(path)
+        return metadata.split_dates(i.spark, path)
+
     def headings(i):
         """The raw test pages, which have a layout of their own."""
         found = extract(i.pages, Step("article"), [Field("heading", (Step("h1"),)), Field("paragraphs", (Step("p"),), "count")])
@@ -273,12 +301,25 @@ def _sources() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
         "s01_transcript_index": (lambda i: transcripts.transcript_index(i.index_pages, INDEX_URL), oracle.INDEX),
         "s02_transcript_statements": (
             lambda i: transcripts.transcript_statements(i.transcript_pages, SPEAKER), oracle.TRANSCRIPT_STATEMENTS),
-        "s03_claims": (lambda i: claims.claims(i.claim_pages), None),
+        "s03_claims": (lambda i: claims.claims(i.claim_pages), oracle.CLAIMS),
         "s03_claim_counts": (claim_counts, oracle.CLAIM_COUNTS),
         "s03_claim_rejects": (lambda i: claims.claim_rejects(i.claim_pages), oracle.CLAIM_REJECTS),
         "s03_page_headings": (headings, oracle.PAGE_HEADINGS),
         "s04_page_totals": (lambda i: claims.page_totals(i.claim_pages), oracle.PAGE_TOTALS),
         "s04_page_last_dates": (lambda i: claims.page_last_dates(i.claim_pages), oracle.PAGE_LAST_DATES),
+        "s02_transcript_rejects": (
+            lambda i: transcripts.transcript_rejects(i.broken_transcript_pages, SPEAKER), oracle.TRANSCRIPT_REJECTS),
+        "s05_timeline_rejects": (lambda i: tweets.timeline_rejects(i.broken_lines), oracle.BROKEN_LINES),
+        "s13_split_dates": (split_file, oracle.SPLIT_DATES),
+        "x02_unescaped": (lambda i: i.marked_texts.select("doc_id", text.unescape("entities").alias("text")), oracle.UNESCAPED),
+        "x03_clean_tweets": (
+            lambda i: i.marked_texts.select("doc_id", text.clean_tweet(F.col("tweet")).alias("text")).withColumns(
+                {"more": text.more_follows(F.col("text")), "cont": text.continues(F.col("text"))}),
+            oracle.CLEAN_TWEETS),
+        "x04_clean_claims": (
+            lambda i: i.marked_texts.select("doc_id", text.clean_claim(F.col("claim")).alias("text")), oracle.CLEAN_CLAIMS),
+        "x09_without_addresses": (
+            lambda i: i.marked_texts.select("doc_id", text.remove_urls(F.col("urls")).alias("text")), oracle.WITHOUT_URLS),
         "s05_timeline": (lambda i: tweets.timeline(i.timeline_lines), oracle.TIMELINE),
         "w01_threads": (
             lambda i: threads.build_threads(i.messages, THREAD_LATENCY, THREAD_NOW),
@@ -341,6 +382,48 @@ def _loading() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
         found = ingest.with_reject_reason(i.wp_statements, i.loaded_claims, KEYS["wp_statements"], ["sid"], rules)
         return found.select("sid", "reject_reason")
 
+    def paged(i):
+        """The index as its source lists it, newest page first, and the entries that an earlier run has loaded."""
+        entries = transcripts.transcript_index(i.listed_index_pages, INDEX_URL, keep=("page",))
+        newest = i.events.agg(F.max(F.floor(F.col("event_id") / 20))).scalar()
+        entries = entries.withColumn("page", newest - F.col("page"))
+        old = F.col("tid").cast("bigint") <= i.events.agg(F.floor(F.avg("event_id"))).scalar()
+        listed = materialise(entries.repartitionByRange("page").sortWithinPartitions("page"))
+        return listed, listed.where(old).drop("page")
+
+    def new_transcripts(i):
+        listed, known = paged(i)
+        return feeds.newer_pages(listed, known, ["tid"]).drop("page")
+
+    def transcript_feed(i):
+        root, (listed, known) = shared_folder(i.spark, "transcript-feed"), paged(i)
+        feeds.load(known, root, "first", KEYS["fbase_transcripts"], ["tid"], slots=PARTS)
+        for _ in range(2):
+            there = feeds.loaded(i.spark, root, known.schema)
+            feeds.load(feeds.newer_pages(listed, there, ["tid"]).drop("page"), root, "second", KEYS["fbase_transcripts"], ["tid"], slots=PARTS)
+        return feeds.loaded(i.spark, root, known.schema)
+
+    def claim_feed(i):
+        """The lower half of the pages, then all of them, the last twice."""
+        root = shared_folder(i.spark, "claim-feed")
+        rows = claims.claim_rows(i.claim_pages).where("reject_reason is null").drop("reject_reason")
+        rows = materialise(rows.withColumn("statement_hash", text.text_hash(F.col("statement_text"))))
+        early = rows.where(F.col("page_id") <= i.documents.agg(F.avg("doc_id")).scalar())
+        for name, batch in (("early", early), ("all", rows), ("all", rows)):
+            feeds.load(batch, root, name, KEYS["wp_statements"], ["page_id", "pos"], slots=PARTS)
+        return feeds.loaded(i.spark, root, rows.schema).select(*KEYS["wp_statements"], "statement_text", "repeats")
+
+    def rowset(i):
+        return ingest.tweet_rowset(threads.build_threads(i.messages, THREAD_LATENCY, THREAD_NOW, compat=False))
+
+    def tweet_feed(i):
+        """Threads that ended before a day, then all."""
+        root, rows = shared_folder(i.spark, "tweet-feed"), materialise(rowset(i))
+        early = rows.where(F.col("t_end_date") < F.lit("2024-01-20").cast("timestamp"))
+        for name, batch in (("early", early), ("all", rows), ("all", rows)):
+            feeds.load(batch, root, name, KEYS["dcbot_tweets"], ["end_thread_tweet_id"], slots=PARTS)
+        return feeds.loaded(i.spark, root, rows.schema).select(*KEYS["dcbot_tweets"], "end_thread_tweet_id")
+
     def english(i):
         return i.wp_statements.where(F.col("topic") == "en").select(F.col("sid").alias("falsehood_id"))
 
@@ -360,6 +443,11 @@ def _loading() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
         "s11_claim_rowset": (lambda i: ingest.claim_rowset(i.wp_statements), oracle.CLAIM_ROWSET),
         "s11_transcript_rowset": (lambda i: ingest.transcript_rowset(i.fbase_transcripts), oracle.TRANSCRIPT_ROWSET),
         "s11_statement_rowset": (lambda i: ingest.statement_rowset(i.fbase_statements), oracle.STATEMENT_ROWSET),
+        "s07_newer_transcripts": (new_transcripts, oracle.NEW_ENTRIES),
+        "s10_claim_feed": (claim_feed, oracle.CLAIM_FEED),
+        "s10_transcript_feed": (transcript_feed, oracle.TRANSCRIPT_FEED),
+        "s10_tweet_feed": (tweet_feed, oracle.tweet_feed(THREAD_LATENCY, str(THREAD_NOW))),
+        "s11_tweet_rowset": (rowset, oracle.tweet_rowset(THREAD_LATENCY, str(THREAD_NOW))),
         "s12_sql_frame": (
             lambda i: ingest.sql_frame(
                 i.spark, "select source, count(*) n, max(wc) longest from {claims} group by source",

@@ -24,6 +24,18 @@ RAW = (
 ).split()
 
 SPEAKER = "user"
+
+MARKED_TEXTS = """select doc_id,
+    concat('no ', doc_id, ' &amp; &lt;', coalesce(lang, 'xx'), '&gt; &#39;it&#x27;s&#39; caf&eacute; &notanentity; &amp;amp;') entities,
+    concat(case when doc_id % 2 = 0 then '...' else '' end, ' @who', doc_id, ' said #', coalesce(lang, 'xx'), '_', doc_id, ' that ', doc_id,
+      ' [as heard] https://t.co/a', doc_id, ' is &amp; stays\n so -- really \u2014 yes', case when doc_id % 3 = 0 then ' ....' else '' end) tweet,
+    concat('\u201cNo', unhex('C2A0') , ' ', doc_id, ' [sic] at www.', coalesce(lang, 'xx'), '.example.org/x_(', doc_id, ') is #1 \u2013 ok\u201d ') claim,
+    case doc_id % 8 when 0 then concat('see http://example.com/', doc_id, '?a=1&b=(2) now')
+      when 1 then concat('go to shop.co.uk, item ', doc_id) when 2 then concat('mail me', doc_id, '@example.com today')
+      when 3 then concat('(https://en.example.org/wiki/A_(', doc_id, ')) here') when 4 then concat('version 1.', doc_id, ' of it')
+      when 5 then concat('HTTPS://EXAMPLE.NET/', doc_id, '. End') when 6 then concat('at example.com/', doc_id, '/x!')
+      else concat('none in ', doc_id) end urls
+  from {documents}"""
 INDEX_URL = "https://example.org/transcript/"
 
 SQL = {
@@ -191,7 +203,11 @@ class Inputs:
 
     @cached_property
     def index_pages(self) -> DataFrame:
-        """Transcript index pages as JSON: 20 events each, scores as numbers, strings, zero or unknown."""
+        return self.listed_index_pages.select("value")
+
+    @cached_property
+    def listed_index_pages(self) -> DataFrame:
+        """Transcript index pages as JSON: 20 events each, scores as numbers, strings, zero or unknown; page 0 has the oldest."""
         score = F.expr(
             "case event_type when 'view' then parse_json(cast(cast(value as decimal(5,2)) as string)) "
             "when 'click' then to_variant_object(cast(null as array<int>)) "
@@ -207,7 +223,7 @@ class Inputs:
         )
         page = F.floor(F.col("event_id") / 20).alias("page")
         pages = self.events.groupBy(page).agg(F.collect_list(entry).alias("data"))  # 20 entries a page
-        return pages.select(F.to_json(F.struct("data")).alias("value"))
+        return pages.select("page", F.to_json(F.struct("data")).alias("value"))
 
     @cached_property
     def timeline_lines(self) -> DataFrame:
@@ -221,6 +237,25 @@ class Inputs:
         )
         return t.select(F.to_json(line).alias("value"))
 
+    @cached_property
+    def marked_texts(self) -> DataFrame:
+        """(doc_id, entities, tweet, claim, urls): texts built around each document's id and language with marks to be cleaned."""
+        return self.spark.sql(MARKED_TEXTS, documents=self.documents)
+
+    @cached_property
+    def broken_lines(self) -> DataFrame:
+        """The timeline's lines, purchases without an id and views with a time that can't be read."""
+        line = F.when(F.col("value").contains("...part") & F.col("value").rlike(r'\.\.\."'), F.regexp_replace("value", r'"id":\d+,', ""))
+        bad = line.when(F.col("value").contains("...part"), F.regexp_replace("value", r'"created_at":"[^"]*"', '"created_at":"soon"'))
+        return self.timeline_lines.select(bad.otherwise(F.col("value")).alias("value"))
+
+    @cached_property
+    def broken_transcript_pages(self) -> DataFrame:
+        """The transcript pages; scores of -0.3 aren't numbers and those of -0.6 are left out."""
+        html = F.replace("html", F.lit("title='score -0.3'"), F.lit("title='none yet'"))
+        return self.transcript_pages.withColumn("html", F.regexp_replace(
+            html, r"<div class='sentiment-block'><div title='score -0\.6'></div></div>", ""))
+
     def _page_of_lines(self, block) -> DataFrame:
         """One HTML page per document with one block per line of its text."""
         escaped = F.col("text")

@@ -78,11 +78,11 @@ def tweet_url(tweet_id: Column) -> Column:
 
 def first_integer(text: Column) -> Column:
     """First run of digits; NULL when there is none. A thousands comma ends the run."""
-    return F.nullif(F.regexp_extract(text, FIRST_INTEGER, 0), F.lit("")).try_cast("int")
+    return F.nullif(F.regexp_extract(text, FIRST_INTEGER, 0), F.lit("")).try_cast("bigint")
 
 
 def first_decimal(text: Column) -> Column:
-    return F.nullif(F.regexp_extract(text, FIRST_DECIMAL, 0), F.lit("")).try_cast("decimal(5,2)")
+    return F.nullif(F.regexp_extract(text, FIRST_DECIMAL, 0), F.lit("")).try_cast("decimal(18,2)")
 
 
 def more_follows(text: Column) -> Column:

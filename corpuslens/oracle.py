@@ -495,11 +495,11 @@ LINES = """select doc_id, unnest(string_split(text, chr(10))) line,
       generate_subscripts(string_split(text, chr(10)), 1) - 1 i from documents"""
 
 
-def cleaned(line: str) -> str:
-    """The transcript cleaning for texts without non-ASCII blanks or mis-decoded marks."""
+def cleaned(line: str, quotes: bool = False) -> str:
+    """The transcript cleaning for texts without non-ASCII blanks or mis-decoded marks; with ``quotes`` the claims' for texts without addresses."""
     space = "[\\t\\n\\v\\f\\r\\x1c-\\x1f ]"
     other = "[^\\t\\n\\v\\f\\r\\x1c-\\x1f ]"
-    x = f"replace({line}, '\"', '')"
+    x = f"replace({line}, chr(9), '')" if quotes else f"replace({line}, '\"', '')"
     for pattern in ("\\[.*?\\]", f"#{other}+", f"@{other}+", "–|—|--", f"^{space}+|{space}+$"):
         x = f"regexp_replace({x}, '{pattern}', '', 'g')"
     return x
@@ -507,18 +507,39 @@ def cleaned(line: str) -> str:
 
 TRANSCRIPT_STATEMENTS = f"""select concat('doc-', cast(doc_id as varchar)) tid,
       cast(row_number() over (partition by doc_id order by i) - 1 as int) sid, {cleaned('line')} statement_text,
-      cast(-(i % 10) / 10.0 as decimal(5,2)) sentiment
+      cast(-(i % 10) / 10.0 as decimal(18,2)) sentiment
     from ({LINES}) l where i % 3 <> 2 and i % 4 <> 3"""
 CLAIM_COUNTS = f"""select cast(date '2018-01-01' + cast(i * 7 % 700 as int) as date) s_date, cast(i % 5 as int) pinnochios,
-      cast(case when i % 3 = 1 then i else 0 end as int) repeats, count(*) n
+      cast(case when i % 3 = 1 then i else 0 end as bigint) repeats, count(*) n
     from ({LINES}) l where i % 5 <> 4 group by 1, 2, 3"""
+CLAIMS = f"""select 1 iid, {cleaned('line', quotes=True)} statement_text,
+      cast(case when i % 3 = 1 then i else 0 end as bigint) repeats, 'Jobs' topic, 'Remarks' source, cast(i % 5 as int) pinnochios,
+      cast(date '2018-01-01' + cast(i * 7 % 700 as int) as date) s_date
+    from ({LINES}) l where i % 5 <> 4"""
+CLAIM_FEED = f"""select statement_hash, iid, s_date, statement_text, repeats from (
+      select *, row_number() over (partition by statement_hash, iid, s_date order by doc_id, i) rn from (
+        select doc_id, i, 1 iid, {cleaned('line', quotes=True)} statement_text, sha1({cleaned('line', quotes=True)}) statement_hash,
+          cast(case when i % 3 = 1 then i else 0 end as bigint) repeats,
+          cast(date '2018-01-01' + cast(i * 7 % 700 as int) as date) s_date
+        from ({LINES}) l where i % 5 <> 4) c) r where rn = 1"""
+TRANSCRIPT_REJECTS = f"""select concat('doc-', cast(doc_id as varchar)) tid, cast(i as int) pos,
+      case when i % 10 = 6 then 'no_sentiment' else 'bad_sentiment' end reason
+    from ({LINES}) l where i % 3 <> 2 and ((i % 10 = 3 and i % 4 <> 3) or (i % 10 = 6 and i % 4 <> 3))"""
+UNESCAPED = """select doc_id, 'no ' || doc_id || ' & <' || coalesce(lang, 'xx') || '> ''it''s'' caf\u00e9 \u00acanentity; &amp;' "text" from documents"""
+CLEAN_TWEETS = """select doc_id, case when doc_id % 2 = 0 then '...  said  that ' else 'said  that ' end || doc_id
+      || '   is & stays so  really  yes' || case when doc_id % 3 = 0 then ' ....' else '' end "text",
+      (doc_id % 3 = 0)::int "more", (doc_id % 2 = 0)::int cont from documents"""
+CLEAN_CLAIMS = """select doc_id, 'No  ' || doc_id || '  at  is   ok' "text" from documents"""
+WITHOUT_URLS = """select doc_id, case doc_id % 8 when 0 then 'see  now' when 1 then 'go to , item ' || doc_id
+      when 2 then 'mail me' || doc_id || '@example.com today' when 3 then '() here' when 4 then 'version 1.' || doc_id || ' of it'
+      when 5 then '. End' when 6 then 'at !' else 'none in ' || doc_id end "text" from documents"""
 CLAIM_REJECTS = f"select doc_id page_id, cast(i as int) pos, 'no_date' reject_reason from ({LINES}) l where i % 5 = 4"
 ARTICLE = "regexp_extract(html, '<article>(.*)</article>', 1, 's')"
 PAGE_HEADINGS = f"""select page_id, replace(replace(replace(regexp_extract({ARTICLE}, '<h1>(.*?)</h1>', 1, 's'),
         '&lt;', '<'), '&gt;', '>'), '&amp;', '&') heading,
       cast(len(regexp_extract_all({ARTICLE}, '<p>')) as varchar) paragraphs
     from pages where html like '%<article>%</article>%'"""
-PAGE_TOTALS = "select doc_id page_id, cast(1000 + doc_id % 100 as int) total_claims from documents"
+PAGE_TOTALS = "select doc_id page_id, cast(1000 + doc_id % 100 as bigint) total_claims from documents"
 PAGE_LAST_DATES = f"""select doc_id page_id, case when max(i) % 5 = 4 then null
       else cast(date '2018-01-01' + cast(max(i) * 7 % 700 as int) as date) end last_date from ({LINES}) l group by doc_id"""
 TIMELINE = """select user_id author, event_id tweet_id, case when event_type = 'error' then concat('part ', event_id) else
@@ -528,6 +549,20 @@ TIMELINE = """select user_id author, event_id tweet_id, case when event_type = '
       case when event_type in ('click', 'purchase') then 1 else 0 end "more",
       case when event_type in ('view', 'purchase') then 1 else 0 end cont from events"""
 
+BROKEN_LINES = """select case when event_type <> 'purchase' then user_id else user_id end author,
+      case when event_type <> 'purchase' then event_id end tweet_id,
+      case when event_type = 'purchase' then strftime(date_trunc('millisecond', ts), '%Y-%m-%dT%H:%M:%S.%gZ') else 'soon' end created_at,
+      case when event_type = 'purchase' then 'no_id' else 'bad_time' end reject_reason
+    from events where event_type in ('purchase', 'view')"""
+PAGED = f"""select tid, t_date, transcript_type, transcript_url, transcript_sent, cast(tid as bigint) id,
+      (select max(event_id // 20) from events) - cast(tid as bigint) // 20 page,
+      cast(tid as bigint) <= (select floor(avg(event_id)) from events) known from ({INDEX}) x"""
+NEW_ENTRIES = f"""with p as ({PAGED}) select tid, t_date, transcript_type, transcript_url, transcript_sent from p
+    where not known and page <= (select min(page) from (select page from p group by page having bool_or(known)) q)"""
+TRANSCRIPT_FEED = f"""with p as ({PAGED}) select tid, t_date, transcript_type, transcript_url, transcript_sent from p
+    where known or page <= (select min(page) from (select page from p group by page having bool_or(known)) q)"""
+SPLIT_DATES = with_tables(f"select {', '.join(f'{p}_{e}_date' for p in ('train', 'val', 'test') for e in ('start', 'end'))} from {NEWEST} d")
+
 HIGH_WATER = with_tables(
     """select 'claims' feed, cast(coalesce(max(s_date), date '1900-01-01') as varchar) latest, max(s_date) is null initial_load
       from {wp_statements} where iid = 1
@@ -639,6 +674,17 @@ def threads(latency: int, now: str, compat: bool) -> str:
         where is_rt and (e.stop_id is null or tweet_id < e.stop_id)"""
 
 
+def tweet_rowset(latency: int, now: str) -> str:
+    return f"""select end_id end_thread_tweet_id, "text" statement_text, t_start t_start_date, t_end t_end_date,
+        cast(is_rt as int) retweet, sha1("text") statement_hash from ({threads(latency, now, False)}) t"""
+
+
+def tweet_feed(latency: int, now: str) -> str:
+    return f"""select statement_hash, t_end_date, end_thread_tweet_id from (
+        select *, row_number() over (partition by statement_hash, t_end_date order by end_thread_tweet_id) rn
+        from ({tweet_rowset(latency, now)}) r) f where rn = 1"""
+
+
 def thread_stream(latency: int, delay: str) -> str:
     """What a stream has given out once the watermark stands ``delay`` before the last message.
 

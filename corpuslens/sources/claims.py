@@ -76,7 +76,7 @@ def claim_rows(pages: DataFrame, iid: int = 1, layout: ClaimLayout = ClaimLayout
         "pos",
         F.lit(iid).alias("iid"),
         clean_claim(quote).alias("statement_text"),
-        F.coalesce(first_integer(r["repeats"]), F.lit(0)).alias("repeats"),
+        F.coalesce(first_integer(r["repeats"]), F.lit(0).cast("bigint")).alias("repeats"),
         r["topic"].alias("topic"),
         r["source"].alias("source"),
         F.coalesce(r["marks"].cast("int"), F.lit(0)).alias("pinnochios"),
@@ -99,7 +99,7 @@ def page_totals(pages: DataFrame, layout: ClaimLayout = ClaimLayout()) -> DataFr
     """(page_id, total_claims): the number in the heading, thousands commas removed."""
     found = extract(pages, layout.total[0], [Field("total", layout.total[1:])])
     number = F.replace(strip(F.col("rows")[0]["total"]), F.lit(","), F.lit(""))
-    return found.where(F.size("rows") > 0).select("page_id", number.try_cast("int").alias("total_claims"))
+    return found.where(F.size("rows") > 0).select("page_id", number.try_cast("bigint").alias("total_claims"))
 
 
 def page_last_dates(pages: DataFrame, layout: ClaimLayout = ClaimLayout()) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -24,9 +25,9 @@ def _is_truthy(score: Column) -> Column:
     return ~F.coalesce(empty, F.lit(True))
 
 
-def transcript_index(pages: DataFrame, base_url: str, column: str = "value") -> DataFrame:
-    """Entries of index pages whose sentiment has been scored: (tid, t_date, type, url, sentiment)."""
-    entry = pages.select(F.explode(F.from_json(column, INDEX_SCHEMA)["data"]).alias("e"))
+def transcript_index(pages: DataFrame, base_url: str, column: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Entries of index pages whose sentiment has been scored: (tid, t_date, type, url, sentiment) and the page's columns ``keep``."""
+    entry = pages.select(*keep, F.explode(F.from_json(column, INDEX_SCHEMA)["data"]).alias("e"))
     score = F.col("e.sentiment.score")
     text = F.variant_get(score, "$", "string")
     return entry.where(_is_truthy(score) & (text != UNSCORED)).select(
@@ -35,6 +36,7 @@ def transcript_index(pages: DataFrame, base_url: str, column: str = "value") ->
         F.col("e.type").alias("transcript_type"),
         F.concat(F.lit(base_url), F.col("e.slug")).alias("transcript_url"),
         text.try_cast("decimal(5,2)").alias("transcript_sent"),
+        *keep,
     )
 
 

@@ -22,12 +22,19 @@ def _timestamp(text: Column) -> Column:
 
 
 def _rows(lines: DataFrame, column: str) -> DataFrame:
-    row = lines.select(F.from_json(column, TIMELINE_SCHEMA).alias("j")).select("j.*")
-    return row.withColumn("ts", _timestamp(F.col("created_at")))
+    """Parsed lines with ``ts`` and ``reject_reason``.
 
+    The rows come out of an ``inline``, which no filter is pushed through, so a line is parsed and its time read once.
+    """
+
+    def read(j: Column) -> Column:
+        return F.transform(F.array(_timestamp(j["created_at"])), lambda ts: F.struct(
+            j["id"].alias("id"), j["user_id"].alias("user_id"), j["created_at"].alias("created_at"), j["full_text"].alias("full_text"),
+            j["retweeted_status"].alias("retweeted_status"), ts.alias("ts"),
+            F.when(j["id"].isNull(), "no_id").when(ts.isNull(), "bad_time").alias("reject_reason")))
 
-def _reject_reason() -> Column:
-    return F.when(F.col("id").isNull(), "no_id").when(F.col("ts").isNull(), "bad_time")
+    parsed = F.flatten(F.transform(F.array(F.from_json(column, TIMELINE_SCHEMA)), read))
+    return lines.select(F.inline(parsed))
 
 
 def timeline(lines: DataFrame, column: str = "value", domains: Sequence[str] = DOMAINS) -> DataFrame:
@@ -36,7 +43,7 @@ def timeline(lines: DataFrame, column: str = "value", domains: Sequence[str] = D
     A repost carries the text of the message it repeats. Messages without a readable id or time are left to
     ``timeline_rejects``.
     """
-    row = _rows(lines, column).where(_reject_reason().isNull())
+    row = _rows(lines, column).where("reject_reason is null")
     is_rt = F.col("retweeted_status").isNotNull()
     raw = F.when(is_rt, F.col("retweeted_status.full_text")).otherwise(F.col("full_text"))
     text = F.explode(F.array_compact(F.array(clean_tweet(raw, domains))))  # drops the rows without text
@@ -52,5 +59,5 @@ def timeline(lines: DataFrame, column: str = "value", domains: Sequence[str] = D
 
 def timeline_rejects(lines: DataFrame, column: str = "value") -> DataFrame:
     """(author, tweet_id, created_at, reject_reason) of messages that ``timeline`` leaves out for a missing id or time."""
-    found = _rows(lines, column).withColumn("reject_reason", _reject_reason()).where("reject_reason is not null")
+    found = _rows(lines, column).where("reject_reason is not null")
     return found.select(F.col("user_id").alias("author"), F.col("id").alias("tweet_id"), "created_at", "reject_reason")
