@@ -12,7 +12,8 @@ from corpuslens import oracle
 from corpuslens.fixtures import INDEX_URL, SPEAKER, Inputs
 from corpuslens.functions import text
 from corpuslens.operators import corpus, distributions, evaluate, feedback, feeds, ingest, queues, reports, threads, vectors
-from corpuslens.plans.slices import NONTWEET, TWEET
+from corpuslens.plans.ranks import auc
+from corpuslens.plans.slices import NONTWEET, TWEET, test_rows
 from corpuslens.schemas import KEYS, TABLES
 from corpuslens.session import materialise, shared_folder
 from corpuslens.sources import claims, metadata, transcripts, tweets
@@ -53,6 +54,13 @@ def _evaluation() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]
         lambda i: evaluate.with_confusion_flags(i.model_analysis_rpts.drop("tp", "fp", "tn", "fn"))
         .select("model_version", "report_type", "statement_id", "tp", "fp", "tn", "fn"),
         oracle.with_tables("select model_version, report_type, statement_id, tp, fp, tn, fn from {model_analysis_rpts}"))
+    def double_scores(i):
+        """Scores of full precision, one of its own for every row."""
+        rows = test_rows(i.model_analysis_rpts, i.ds_metadata, None)
+        scored = rows.withColumn("score", F.col("raw_pred").cast("double") + F.col("statement_id") / 1e9)
+        return auc(scored, "score", "label").withColumn("est_auc", F.round("est_auc", 9))
+
+    q["e05_auc_double_scores"] = (double_scores, oracle.auc_of_doubles())
     q["e14_global_accuracy"] = (
         lambda i: evaluate.global_accuracy(i.model_analysis_rpts, i.ds_metadata), oracle.global_accuracy(False))
     q["e15_global_perf_summary"] = (

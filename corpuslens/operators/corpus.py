@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.functions.scores import flag
 from corpuslens.functions.text import composite_id, match_hash
-from corpuslens.plans.ranks import cume_dist, global_rank, smallest_per_group, tile_of_rank
+from corpuslens.plans.ranks import cume_dist, cut_into_tiles, running_totals, smallest_per_group
 from corpuslens.plans.skew import lookup_join
 from corpuslens.plans.slices import CONVERGED, newest_dataset
 from corpuslens.session import materialise
@@ -289,13 +289,16 @@ def near_duplicates(candidates: DataFrame, max_dist: float = 0.02) -> DataFrame:
 
 
 def distance_tiles(candidates: DataFrame, k: int = 100) -> DataFrame:
-    """Size and distance range of each of ``k`` equal tiles of the candidate pairs, to choose a threshold."""
-    narrow = candidates.select("l2dist", "falsehood_id", "truth_id")
-    ranked = global_rank(narrow, ["l2dist", "falsehood_id", "truth_id"])
-    total = candidates.agg(F.count(F.lit(1))).scalar()
-    tile = tile_of_rank(F.col("rn"), F.lit(k), total).cast("int").alias("bucket")
-    return ranked.groupBy(tile).agg(
-        F.count(F.lit(1)).alias("n"), F.min("l2dist").alias("min_l2dist"), F.max("l2dist").alias("max_l2dist")
+    """Size and distance range of each of ``k`` equal tiles of the candidate pairs, to choose a threshold.
+
+    Pairs that tie in distance are interchangeable, so the tiles are cut out of the counts per distance; no pair is
+    ranked or stored.
+    """
+    counted = candidates.groupBy("l2dist").agg(F.count(F.lit(1)).alias("n"))
+    spans = running_totals(counted, ["l2dist"], ["n"]).withColumns(
+        {"lo": F.col("n_before"), "hi": F.col("n_before") + F.col("n"), "total": counted.agg(F.sum("n")).scalar()})
+    return cut_into_tiles(spans, k).groupBy(F.col("bucket").cast("int").alias("bucket")).agg(
+        F.sum("take").alias("n"), F.min("l2dist").alias("min_l2dist"), F.max("l2dist").alias("max_l2dist")
     )
 
 

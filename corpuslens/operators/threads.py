@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.functions.text import drop_leading_dots, drop_trailing_dots
 from corpuslens.plans.skew import lookup_join
+from corpuslens.session import materialise
 
 # times are microseconds since 1970 while rows are in Python
 _FOLDED = (
@@ -80,10 +81,15 @@ def _fold(latency: int, young: int, compat: bool):
 
     A segment that is one finished message is passed on as a column; only the others are stepped through.
     """
-    columns = ["author", "seg", "tweet_id", "ts", "text", "piece", "more"]
+    columns = ["author", "seg", "tweet_id", "ts", "text", "piece", "more", "goes_on"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, thread, stopped = None, OpenThread(compat), False
+        key, thread, stopped, later = None, OpenThread(compat), False, False
+
+        def aged(author) -> list[tuple]:
+            """The thread left open, closed for age by the author's next message, which opens the next segment."""
+            return [(author, *thread.expire(), None)] if later and not stopped and thread.start is not None else []
+
         for batch in batches:
             alone = (batch["size"] == 1) & (batch["more"] == 0)
             one = batch[alone]
@@ -94,9 +100,10 @@ def _fold(latency: int, young: int, compat: bool):
                 }
             )
             out, rest = [], batch[~alone]
-            for author, seg, tweet_id, ts, text, piece, more in zip(*(rest[c].tolist() for c in columns)):
+            for author, seg, tweet_id, ts, text, piece, more, goes_on in zip(*(rest[c].tolist() for c in columns)):
                 if (author, seg) != key:
-                    key, thread, stopped = (author, seg), OpenThread(compat), False
+                    out += aged(key[0]) if key else []
+                    key, thread, stopped, later = (author, seg), OpenThread(compat), False, goes_on
                 if stopped:
                     continue
                 before = thread.first_id if thread.start is not None else None
@@ -106,6 +113,8 @@ def _fold(latency: int, young: int, compat: bool):
                     out.append((author, None, None, None, None, None, tweet_id))
                     stopped = True
             yield pd.DataFrame(out, columns=_FOLDED_COLUMNS, dtype=object)
+        if key:
+            yield pd.DataFrame(aged(key[0]), columns=_FOLDED_COLUMNS, dtype=object)
 
     return run
 
@@ -117,28 +126,38 @@ def own_messages(tweets: DataFrame) -> DataFrame:
     return own.withColumn("piece", drop_trailing_dots(F.col("text")))
 
 
-def with_segments(own: DataFrame, buckets: int = 16384) -> DataFrame:
-    """Number the stretches that threads cannot cross: each ends with a message without dots.
+def with_segments(own: DataFrame, latency: int) -> DataFrame:
+    """Number the stretches that threads cannot cross (``seg``) and say where the author goes on behind one (``goes_on``).
 
-    The number is the count of such messages before a row. It is counted per (author, id range)
-    and the ranges' totals are added up per author, so one author's rows are never sorted in one task.
+    A stretch ends behind a message without dots, and before a message that is ``latency`` or more later than all
+    messages before it: whatever thread is open then is too old to go on. Rows are laid out in sampled ranges of
+    (author, tweet_id), so one author's rows are never sorted in one task; inside a range both kinds of ends
+    are found by running windows, and what a window needs from earlier ranges is carried over by one row per author and range.
     """
-    span = own.agg(F.struct(F.min("tweet_id").alias("a"), F.max("tweet_id").alias("b"))).scalar()
-    width = F.floor((span["b"] - span["a"]) / buckets) + 1
-    ranged = own.withColumn("range", F.floor((F.col("tweet_id") - span["a"]) / width))
-    closes = 1 - F.col("more")
-    totals = ranged.groupBy("author", "range").agg(F.sum(closes).alias("closed"))
-    earlier = Window.partitionBy("author").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("author", "range", F.coalesce(F.sum("closed").over(earlier), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("author", "range").orderBy("tweet_id").rowsBetween(Window.unboundedPreceding, -1)
-    counted = ranged.withColumn("here", F.coalesce(F.sum(closes).over(within), F.lit(0)))
-    return counted.join(offsets, ["author", "range"]).withColumn("seg", F.col("offset") + F.col("here")).drop(
-        "range", "offset", "here"
-    )
+    placed = materialise(own.repartitionByRange("author", "tweet_id").withColumn("range", F.spark_partition_id()))
+    key = ["author", "range"]
+    totals = placed.groupBy(*key).agg(
+        F.max("ts").alias("top"), F.max_by("more", "tweet_id").alias("last_more"), F.max("tweet_id").alias("last_id"))
+    ranges = Window.partitionBy("author").orderBy("range")
+    whole = ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carried = totals.select(
+        *key, F.max("top").over(ranges.rowsBetween(Window.unboundedPreceding, -1)).alias("top_before"),
+        F.lag("last_more").over(ranges).alias("more_before"), F.max("last_id").over(whole).alias("author_last"))
+    within = Window.partitionBy(*key).orderBy("tweet_id")
+    newest = F.greatest("top_before", F.max("ts").over(within.rowsBetween(Window.unboundedPreceding, -1)))
+    follows = F.coalesce(F.lag("more").over(within), F.col("more_before")) == 1
+    cut = ~F.coalesce(follows & (F.col("ts") - newest < latency), F.lit(False))
+    marked = materialise(placed.join(carried, key).withColumn("cut", cut.cast("int")).drop("top_before", "more_before"))
+    cuts = marked.groupBy(*key).agg(F.sum("cut").alias("cuts"))
+    offsets = cuts.select(*key, F.coalesce(
+        F.sum("cuts").over(ranges.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
+    here = F.sum("cut").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = marked.withColumn("here", here).join(offsets, key)
+    return counted.withColumns({"seg": F.col("offset") + F.col("here")}).drop("range", "cut", "here", "offset")
 
 
 def build_threads(
-    tweets: DataFrame, latency_seconds: int, now: datetime, compat: bool = True, buckets: int = 16384
+    tweets: DataFrame, latency_seconds: int, now: datetime, compat: bool = True
 ) -> DataFrame:
     """(author, end_id, text, t_start, t_end, is_rt) of finished threads and single messages.
 
@@ -153,9 +172,10 @@ def build_threads(
     by_segment = Window.partitionBy("author", "seg").orderBy("tweet_id")
     whole = by_segment.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     sized = (
-        with_segments(own_messages(tweets).withColumn("ts", F.unix_micros("ts")), buckets)
-        .withColumns({"size": F.count(F.lit(1)).over(whole), "newest": F.max("ts").over(whole)})
-        .select("author", "seg", "tweet_id", "ts", "text", "piece", "more", "size", "newest")
+        with_segments(own_messages(tweets).withColumn("ts", F.unix_micros("ts")), latency)
+        .withColumns({"size": F.count(F.lit(1)).over(whole), "newest": F.max("ts").over(whole),
+                      "goes_on": F.max("tweet_id").over(whole) < F.col("author_last")})
+        .select("author", "seg", "tweet_id", "ts", "text", "piece", "more", "size", "newest", "goes_on")
         .sortWithinPartitions("author", "seg", "tweet_id")  # the order the window leaves; costs nothing
     )
     fold = _fold(latency, young, compat)

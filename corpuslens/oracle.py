@@ -87,6 +87,13 @@ def auc(kind: str) -> str:
     return with_tables("select est_auc from {a}", f=_tests(kind), a=_pairs("{f}", "label"))
 
 
+def auc_of_doubles() -> str:
+    """By the ranks of the positives, as no two scores are equal."""
+    return with_tables("""select round((s - p * (p + 1) / 2.0) / (cast(p as double) * n), 9) est_auc from (
+        select sum(label) p, sum(1 - label) n, cast(sum(label * rn) as double) s from (
+          select label, row_number() over (order by cast(raw_pred as double) + statement_id / 1e9) rn from {f}) x) y""", f=_tests("all"))
+
+
 def _tiles(kind: str, ties: str = "raw_pred, label, prediction, statement_id") -> str:
     return f"select *, ntile({KINDS[kind][1]}) over (order by confidence, {ties}) bucket from {{f}}"
 

@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuslens.session import materialise
 
@@ -108,6 +109,29 @@ def global_rank(df: DataFrame, order: Sequence[str], out: str = "rn") -> DataFra
     return ranked.withColumn(out, F.col("__offset") + F.col(pos) + 1).drop(part, pos, "__offset")
 
 
+def running_totals(hist: DataFrame, order: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Adds ``{s}_before`` for each of ``sums``: its total over all rows that come earlier in ``order``, for any number of rows.
+
+    ``order`` must be unique, as the keys of a histogram are. Rows are summed inside sampled ranges; only one row per
+    range is summed up in one task and broadcast.
+    """
+    part = "__part"
+    placed = materialise(hist.repartitionByRange(*order).withColumn(part, F.spark_partition_id()))
+    parts = placed.groupBy(part).agg(*[F.sum(s).alias(s) for s in sums])
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select(part, *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"__{s}") for s in sums])
+    inner = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    found = placed.join(F.broadcast(starts), part)
+    return found.withColumns(
+        {f"{s}_before": F.col(f"__{s}") + F.coalesce(F.sum(s).over(inner), F.lit(0)) for s in sums}
+    ).drop(part, *[f"__{s}" for s in sums])
+
+
+def _few_values(kind: T.DataType) -> bool:
+    """Whether a type has so few values that one task may go through all of them."""
+    return isinstance(kind, (T.BooleanType, T.ByteType, T.ShortType)) or (isinstance(kind, T.DecimalType) and kind.precision <= 5)
+
+
 def smallest_per_group(
     df: DataFrame, group: Sequence[str], quota: str, code: str, unique: str, bin_chars: int = 3
 ) -> DataFrame:
@@ -130,11 +154,18 @@ def smallest_per_group(
 
 
 def auc(df: DataFrame, score: str, label: str, out: str = "est_auc") -> DataFrame:
-    """Share of (positive, negative) pairs ranked rightly, ties counting half; NULL for an empty class."""
+    """Share of (positive, negative) pairs ranked rightly, ties counting half; NULL for an empty class.
+
+    Rows are counted per score. Scores of a narrow type are then summed up in one task, others (doubles, wide
+    decimals, of which every row may have its own) over range partitions.
+    """
     hist = df.groupBy(score).agg(
         F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")
     )
-    upto = F.sum("n").over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    if _few_values(df.schema[score].dataType):
+        upto = F.sum("n").over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    else:
+        hist, upto = running_totals(hist, [score], ["n"]), F.col("n_before") + F.col("n")
     won = F.col("p").cast("double") * (upto.cast("double") - F.col("n") / 2)
     ranked = hist.select("p", "n", won.alias("won"))
     pairs = F.sum("p").cast("double") * F.sum("n").cast("double")

@@ -84,3 +84,24 @@ def test_lookup_join_with_hot_and_null_keys(spark, how):
     got = lookup_join(df, lookup, ["k"], ["id"], how, hot=0.5)
     naive = df.join(lookup, "k", how)
     assert sorted(map(str, got.select(*naive.columns).collect())) == sorted(map(str, naive.collect()))
+
+
+def test_auc_of_scores_with_many_values_needs_no_window_over_all(spark):
+    from corpuslens.plans.ranks import auc, running_totals
+
+    rng = random.Random(12)
+    rows = [(rng.choice([rng.random(), 0.25, 0.5, None]), rng.randrange(2)) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "score double, label int").repartition(6)
+    key = [(-1.0 if s is None else s, y) for s, y in rows]
+    pos, neg = [s for s, y in key if y], [s for s, y in key if not y]
+    won = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg)
+    assert abs(auc(df, "score", "label").first()[0] - won / len(pos) / len(neg)) < 1e-12
+    assert auc(df.where("label = 1"), "score", "label").first()[0] is None
+
+    counted = df.groupBy("score").count()
+    got = {r["score"]: r["count_before"] for r in running_totals(counted, ["score"], ["count"]).collect()}
+    order = sorted(got, key=lambda s: (s is not None, s))
+    counts, total = {r["score"]: r["count"] for r in counted.collect()}, 0
+    for score in order:
+        assert got[score] == total
+        total += counts[score]

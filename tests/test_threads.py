@@ -2,8 +2,9 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
-from corpuslens.operators.threads import build_threads
+from corpuslens.operators.threads import build_threads, own_messages, with_segments
 
 T0 = datetime(2024, 1, 1)
 SCHEMA = "author bigint, tweet_id bigint, text string, ts timestamp, is_rt boolean, more int"
@@ -41,9 +42,9 @@ def sequential(rows, latency, now, compat):
     return [(i, t if compat or rt else t.strip(), a, b, rt) for i, t, a, b, rt in out]
 
 
-def run(spark, rows, latency, now, compat, buckets=16384):
+def run(spark, rows, latency, now, compat):
     df = spark.createDataFrame([(a, i, t, ts, rt, m) for a, i, t, ts, rt, m in rows], SCHEMA).repartition(4)
-    got = build_threads(df, latency, now, compat, buckets).collect()
+    got = build_threads(df, latency, now, compat).collect()
     return sorted((r.author, r.end_id, r.text, r.t_start, r.t_end, r.is_rt) for r in got)
 
 
@@ -102,8 +103,8 @@ def test_young_thread_holds_back_its_author_only(spark):
 
 
 @pytest.mark.parametrize("compat", [True, False])
-@pytest.mark.parametrize("seed, buckets", [(1, 3), (2, 50), (3, 16384)])
-def test_equals_sequential_rules(spark, seed, buckets, compat):
+@pytest.mark.parametrize("seed, ranges", [(1, 1), (2, 4), (3, 13)])
+def test_equals_sequential_rules(spark, seed, ranges, compat):
     rng = random.Random(seed)
     rows, now = [], 0
     for tweet_id in range(1, 1500):
@@ -113,4 +114,26 @@ def test_equals_sequential_rules(spark, seed, buckets, compat):
         text = ("..." if cont else "") + f"m{tweet_id}" + ("..." if more else "")
         rows.append((author, tweet_id * 7, text, at(now), rng.random() < 0.15, more))
     end = at(now - 300)
-    assert run(spark, rows, 120, end, compat, buckets) == expected(rows, 120, end, compat)
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    try:
+        assert run(spark, rows, 120, end, compat) == expected(rows, 120, end, compat)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+
+
+@pytest.mark.parametrize("compat", [True, False])
+def test_times_that_run_backwards(spark, compat):
+    """Ids decide the order; a stretch ends only where a message is late after all before it."""
+    rng = random.Random(5)
+    rows = [(1 + k % 2, k, f"m{k}" + ("..." if rng.random() < 0.7 else ""), at(k * 20 + rng.randrange(-300, 300)), False, 0) for k in range(600)]
+    rows = [(a, i, t, ts, rt, int(t.endswith("..."))) for a, i, t, ts, rt, _ in rows]
+    assert run(spark, rows, 100, LATE, compat) == expected(rows, 100, LATE, compat)
+
+
+def test_an_author_who_always_ends_in_dots_is_split(spark):
+    rows = [(1, k, f"m{k}...", at(1000 * (k // 4) + k % 4), False, 1) for k in range(400)]
+    own = own_messages(spark.createDataFrame(rows, SCHEMA)).withColumn("ts", F.unix_micros("ts"))
+    sizes = with_segments(own, 100 * 10**6).groupBy("seg").count().collect()
+    assert len(sizes) == 100 and {r["count"] for r in sizes} == {4}
+    assert len(run(spark, rows, 100, LATE, False)) == 99  # the last is still open
