@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.llm.spans import count_words, matches
+from corpuslens.llm.spans import count_words, let, matches, overlapping
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"  # between words of the text before A-Z is lower-cased
@@ -75,6 +75,10 @@ FAMILIES = (
     ("w3c", "w3c(?: software)?", "w3c", ()),
     ("x11", "x11", "x11", ()),
 )
+# names that are words or short forms of other things too: beside a version they need a grant or the word licence
+AMBIGUOUS = frozenset(
+    "mit mit-0 isc boost artistic python php ruby openssl epl edl cpl cpal afl upl osl ofl ogl elastic w3c x11 zlib bsl ncsa unlicense "
+    "beerware postgresql".split())
 CC_KINDS = ("by nc sa", "by nc nd", "by nc", "by sa", "by nd", "by")
 CC_NAMES = {
     "by": "attribution", "by sa": "attribution share ?alike", "by nd": "attribution no ?derivatives?",
@@ -119,10 +123,11 @@ def _rules() -> list[Rule]:
     for label, name, word, versions in FAMILIES:
         for v in versions:
             number = v.replace(" ", ".") + ("" if " " in v else ".0")
-            first.append(Rule(
-                f"{label}-{number}", word,
-                rf"(?:{given})?(?:{name})(?: public)?(?: licen[sc]e)?(?: as published by the free software foundation)?(?: either)? (?:v|version |v )?{v}"
-                + r"(?: (?:or (?:any|at your option any)? ?later|only))?", 1.0))
+            after = rf"(?: as published by the free software foundation)?(?: either)? (?:v|version |v )?{v}"
+            later = r"(?: (?:or (?:any|at your option any)? ?later|only))?"
+            sure = rf"{given}(?:{name})(?: public)?(?: licen[sc]e)?{after}|(?:{name})(?: public)? licen[sc]e{after}|(?:{name})(?: public)? (?:v|version |v )?{v} licen[sc]e"
+            plain = rf"(?:{given})?(?:{name})(?: public)?(?: licen[sc]e)?{after}"
+            first.append(Rule(f"{label}-{number}", word, f"(?:{sure if label in AMBIGUOUS else plain}){later}", 1.0))
         first.append(Rule(label, "spdx", rf"spdx license identifier (?:{name})(?: [0-9][0-9a-z]*)*(?: or later| only)?", 1.0))
         second.append(Rule(label, word, rf"{given}(?:{name})(?: public)?(?: licen[sc]e)?", 0.9))
         third.append(Rule(label, word, rf"(?:the )?(?:{name}) licen[sc]e", 0.7))
@@ -165,18 +170,32 @@ def _detections(norm: Column, here: Column) -> Column:
 
 
 def _settled(found: Column) -> Column:
-    """Drop detections inside another's interval; of two that overlap in part the one of better priority stays."""
+    """The detections that stay: by priority, of one rule the longest first, each that overlaps none that stays already.
+
+    A detection inside another or across its edge thus goes only if the other stays. Detections that overlap none at all
+    are passed by; the others are taken one after the other.
+    """
     none = F.array().cast(_FOUND)
 
-    def add(kept, d):
-        last = F.element_at(kept, -1)
-        return (F.when(F.size(kept) == 0, F.array(d))
-                .when(d["stop"] <= last["stop"], kept)
-                .when(d["start"] >= last["stop"], F.concat(kept, F.array(d)))
-                .when(d["rank"] < last["rank"], F.concat(F.slice(kept, F.lit(1), F.size(kept) - 1), F.array(d)))
-                .otherwise(kept))
+    def place(d, *names):
+        return F.struct(*[d[n].alias(n) for n in names])
+
+    def greedy(crowd):
+        ordered = F.array_sort(F.transform(crowd, lambda d: place(d, "rank", "last", "start", "stop")))
+
+        def add(kept, d):
+            meets = F.exists(kept, lambda k: (k["start"] < d["stop"]) & (k["stop"] > d["start"]))
+            return F.when(meets, kept).otherwise(F.concat(kept, F.array(place(d, "start", "last", "rank", "stop"))))
+
+        return F.aggregate(ordered, none, add)
+
+    def settled(pairs):
+        alone = F.filter(pairs, lambda p: p["n"] == 1)
+        crowd = F.filter(pairs, lambda p: p["n"] > 1)
+        return F.array_sort(F.concat(F.transform(alone, lambda p: p["d"]), greedy(F.transform(crowd, lambda p: p["d"]))))
 
-    return F.aggregate(found, none, add)
+    return let(found, lambda ds: let(
+        F.zip_with(ds, overlapping(ds, ds), lambda d, n: F.struct(d.alias("d"), n.alias("n"))), settled))
 
 
 def scan(docs: DataFrame) -> DataFrame:

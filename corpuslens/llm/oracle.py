@@ -42,7 +42,7 @@ runs as (
     select *, unit - row_number() over (partition by doc_id order by unit) as run from ranked where nth > 1)
 select doc_id, min(start)::bigint as start, max(stop)::bigint as stop, sum(words)::bigint as words, count(*) as units,
     arg_min(first_doc_id, start) as first_doc_id, arg_min(first_start, start)::bigint as first_start
-from runs group by doc_id, run having sum(words) >= 30
+from runs group by doc_id, run having sum(words) >= 20
 """
 
 COLLOCATIONS = r"""

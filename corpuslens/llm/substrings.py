@@ -60,7 +60,7 @@ def units(docs: DataFrame, pattern: str = SENTENCES) -> DataFrame:
     return map_texts(rows, run, UNIT_SCHEMA)
 
 
-def repeats(docs: DataFrame, pattern: str = SENTENCES, min_words: int = 30) -> DataFrame:
+def repeats(docs: DataFrame, pattern: str = SENTENCES, min_words: int = 20) -> DataFrame:
     """Passages to remove: runs of neighbouring units that all occurred earlier, of ``min_words`` words in total.
 
     Occurrences are ranked by doc_id (null last) and offset; rows that repeat a doc_id come one after the other. The

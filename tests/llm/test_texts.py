@@ -302,3 +302,28 @@ def test_secret_scan_with_clashing_columns_and_many_matches(spark):
     row = secrets.report(many).first()
     assert row["n_assign"] == 8000 and row["spans"].count("endpoint:") >= 15  # those within reach of a secret
     assert secrets.report(many.where("false")).collect() == [] and secrets.redact(many.where("false")).collect() == []
+
+
+def test_short_names_need_a_license_word(spark):
+    texts = ["Arsenal won in the EPL 1-0", "the AFL 2-0 lead", "UPL 1-0 final", "the elastic 2 stretch", "a boost 1.0 point", "python 2 snakes",
+             "released under EPL 2.0", "the EPL 2.0 license", "Boost Software License 1.0", "Apache-2.0", "GNU General Public License v3"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(frame).collect()}
+    assert [got[k] for k in range(11)] == [""] * 6 + ["epl-2.0", "epl-2.0", "boost-1.0", "apache-2.0", "gpl,gpl-3.0"]
+
+
+def test_detections_settle_by_priority_first(spark):
+    def settle(*spans):
+        rows = ",".join(f"struct({a}L as start, {-b}L as last, {rank} as rank, {b}L as stop)" for a, b, rank in spans)
+        found = spark.range(1).select(licenses._settled(F.expr(f"array({rows})")).alias("kept")).first()["kept"]
+        return [(d["start"], d["stop"]) for d in found]
+
+    assert settle((0, 10, 2), (2, 4, 3), (8, 15, 1)) == [(2, 4), (8, 15)]
+    assert settle((0, 10, 1), (2, 4, 1), (8, 15, 2), (20, 22, 9)) == [(0, 10), (20, 22)]
+    assert settle((0, 3, 5)) == [(0, 3)]
+
+
+def test_license_scan_of_many_matches_and_no_rows(spark):
+    many = spark.createDataFrame([(1, "licensed under the Apache License 2.0, " * 4000)], "doc_id long, text string")
+    assert licenses.scan(many).first()["labels"] == "apache-2.0"
+    assert licenses.scan(many.where("false")).collect() == []
