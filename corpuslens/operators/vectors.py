@@ -76,7 +76,9 @@ def partitioned(claims: DataFrame, truths: DataFrame, dims: int, slack: float, m
     no axis can cut is kept whole. Only counts reach the driver; each round is written as a table.
     """
     columns = ["cell", "id", "p"]
-    open_truths, open_claims = (df.select(F.lit("0").alias("cell"), "id", "p") for df in (truths, claims))
+    # not a plain literal, which would be folded into the joins and make them nested loops
+    root = F.when(F.col("p").isNull(), F.lit("")).otherwise(F.lit("0"))
+    open_truths, open_claims = (df.select(root.alias("cell"), "id", "p") for df in (truths, claims))
     closed_truths, closed_claims, stuck, level = [], [], 0, 0
     while True:
         at = F.get("p", F.lit(level % dims))
