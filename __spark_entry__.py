@@ -18,7 +18,7 @@ from corpuslens.schemas import KEYS, TABLES
 from corpuslens.session import materialise, shared_folder
 from corpuslens.sources import claims, metadata, transcripts, tweets
 from corpuslens.sources.html import Field, Step, extract
-from corpuslens.streaming.ingest import keyed_sink
+from corpuslens.streaming.ingest import feed_sink, keyed_sink
 from corpuslens.streaming.threads import thread_stream
 
 try:  # the text operators and their pipeline are an optional part
@@ -355,8 +355,15 @@ def _streams() -> dict[str, tuple[Callable[[Inputs], DataFrame], str | None]]:
         finish(keyed_sink(rows, out, state, KEYS["wp_statements"], ["sid"]))
         return i.spark.read.schema(rows.schema).parquet(out)
 
+    def stream_feed(i):
+        root, state = shared_folder(i.spark, "stream-feed"), shared_folder(i.spark, "stream-feed-state")
+        rows = i.stream_of("wp_statements").select("sid", *KEYS["wp_statements"])
+        finish(feed_sink(rows, root, state, KEYS["wp_statements"], ["sid"], PARTS))
+        return feeds.loaded(i.spark, root, rows.schema)
+
     return {
         "s09_stream_append": (stream_claims, oracle.STREAM_APPEND),
+        "s09_stream_feed": (stream_feed, oracle.STREAM_APPEND),
         "w01_thread_stream": (stream_threads, oracle.thread_stream(THREAD_LATENCY, THREAD_DELAY)),
     }
 
