@@ -91,3 +91,22 @@ def test_late_messages_come_out_as_rejects(spark, tmp_path):
     drain(query.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
     rows = {(r.end_id, r.late) for r in spark.table("late_rows").collect()}
     assert (3, False) not in rows and (1, False) in rows
+
+
+@pytest.mark.parametrize("name", ["s09_stream_append", "s09_stream_feed"])
+def test_stream_reads_a_table_of_several_files(spark, tmp_path, name):
+    import __spark_entry__ as entry
+
+    rows = [(n, f"text {n % 7}", "en", f"src{n % 9}", 6) for n in range(1, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    docs.repartition(3).write.parquet(f"{tmp_path}/many/documents.parquet")
+    (tmp_path / "one").mkdir()
+    docs.toPandas().to_parquet(tmp_path / "one" / "documents.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+
+    def run(folder):
+        return sorted(map(tuple, entry.queries()[name](spark, f"{tmp_path}/{folder}").collect()))
+
+    assert run("many") == run("one") and {r[0] for r in run("many")} <= {r[0] for r in rows}
+    assert len(run("many")) == len([r for r in rows if r[0] % 9 < 7])
+    assert run("none") == []
