@@ -30,12 +30,16 @@ def fold(doc_id, parts: int):
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(parts)), F.lit(0))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, where=None, limit: int | None = None) -> DataFrame:
-    """(doc_id, text, label) of rows with a label, one per doc_id; ``limit`` keeps those first by a hash of the id."""
+def known_labels(labels: DataFrame, label: str, where=None) -> DataFrame:
+    """(doc_id, label) of all rows with a label, one per doc_id."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).dropna()
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    if where is not None:
-        known = known.where(where)
+    return known if where is None else known.where(where)
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, where=None, limit: int | None = None) -> DataFrame:
+    """(doc_id, text, label) of rows with a label, one per doc_id; ``limit`` keeps those first by a hash of the id."""
+    known = known_labels(labels, label, where)
     if limit is not None:
         known = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))  # at most ``limit`` ids
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))

@@ -10,11 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.llm.common import filter_texts, labelled, map_texts, texts_of
+from corpuslens.llm.common import filter_texts, known_labels, map_texts, stored, texts_of
+from corpuslens.plans.ranks import global_rank, running_totals
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+TREES, SUBSET = 200, 32
 FEATURES = ("word_length", "symbol_share", "upper_share", "mark_share", "distinct_share")
 
 # byte classes: 0 other, 1 lower, 2 upper, 3 ASCII mark
@@ -99,10 +101,11 @@ def _expected(n: int) -> float:
     return 1.0 if n == 2 else 2 * (math.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
 
 
-def grow(x: np.ndarray, trees: int = 200, rows: int = 32, seed: int = 5) -> Forest:
+def grow(x: np.ndarray, trees: int = TREES, rows: int = SUBSET, seed: int = 5, subsets: list[np.ndarray] | None = None) -> Forest:
     """An isolation forest: each tree splits a random subset at random cuts of random features.
 
-    Small subsets keep junk of one kind from hiding itself by its number.
+    Small subsets keep junk of one kind from hiding itself by its number. ``subsets`` gives the rows of ``x`` that each tree
+    takes; by default they are drawn from all of ``x``.
     """
     rng = np.random.default_rng(seed)
     rows = min(rows, len(x))
@@ -112,7 +115,7 @@ def grow(x: np.ndarray, trees: int = 200, rows: int = 32, seed: int = 5) -> Fore
     cut = np.full((trees, nodes), -np.inf)
     depth = np.zeros((trees, leaves))
     for t in range(trees):
-        stack = [(0, 0, x[rng.choice(len(x), rows, replace=False)])]
+        stack = [(0, 0, x[rng.choice(len(x), rows, replace=False) if subsets is None else subsets[t]])]
         while stack:
             node, level, part = stack.pop()
             low, high = (part.min(axis=0), part.max(axis=0)) if len(part) else (np.zeros(1), np.zeros(1))
@@ -129,20 +132,25 @@ def grow(x: np.ndarray, trees: int = 200, rows: int = 32, seed: int = 5) -> Fore
     return Forest(feature, cut, depth, levels, max(_expected(rows), 1e-9))
 
 
-def calibrate(score: np.ndarray, good: np.ndarray, false_reject: float = 0.005) -> float:
+def calibrate(scored: DataFrame, false_reject: float = 0.005) -> float:
     """The cut with the best share of bad rows above less good rows above, among those that reject at most
-    ``false_reject`` of the good rows. Without rows of both labels nothing is rejected."""
-    if not good.any() or good.all():
+    ``false_reject`` of the good rows. Without rows of both labels nothing is rejected.
+
+    ``scored`` (score, good) may have any number of rows; they are counted per score and summed up inside ranges.
+    """
+    good = F.col("good")
+    hist = scored.groupBy("score").agg(F.count_if(good).alias("good"), F.count_if(~good).alias("bad"))
+    falling = running_totals(hist.withColumn("down", -F.col("score")), ["down"], ["good", "bad"])
+    upto = stored(falling.select("score", *[(F.col(c) + F.col(f"{c}_before")).alias(c) for c in ("good", "bad")]), "rule-scores")
+    n_good, n_bad = upto.agg(F.max("good"), F.max("bad")).first()
+    if not n_good or not n_bad:
         return 1.0
-    order = np.argsort(-score, kind="stable")
-    s, g = score[order], good[order]
-    lost, caught = np.cumsum(g) / g.sum(), np.cumsum(~g) / (~g).sum()
-    last = np.r_[s[1:] != s[:-1], True]
-    fits = np.flatnonzero(last & (lost <= false_reject))
-    if not len(fits):
+    lost, caught = F.col("good") / F.lit(n_good), F.col("bad") / F.lit(n_bad)
+    best = upto.where(lost <= false_reject).orderBy((caught - lost).desc(), F.desc("score")).select("score").first()
+    if best is None:
         return 1.0
-    best = fits[np.argmax((caught - lost)[fits])]
-    return float((s[best] + s[best + 1]) / 2) if best + 1 < len(s) else float(s[best])
+    below = upto.where(F.col("score") < best["score"]).agg(F.max("score")).first()[0]
+    return best["score"] if below is None else (best["score"] + below) / 2
 
 
 def _stats_schema(ids: str) -> str:
@@ -157,19 +165,46 @@ def _stats(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*kept, *columns, pa.array(features, pa.list_(pa.float64()))], [*names, *COUNTS, "features"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, where=None, false_reject: float = 0.005) -> Forest:
-    """Grow the forest on the rule statistics of at most ``max_rows`` labelled documents that pass the base rules
-    and calibrate its threshold on their quality labels. Only statistics come to the driver, never texts."""
-    rows = labelled(docs, labels, "quality", where, max_rows)
-    pdf = map_texts(rows.select("doc_id", "label", "text"), _stats, _stats_schema("doc_id long, label int")).toPandas()
-    pdf = pdf.sort_values(["doc_id", *COUNTS])
-    pdf = pdf[~base_failed(pdf["n_words"], pdf["n_repeat_words"])]
-    if len(pdf) < 2:
+def _grown(rows: DataFrame, n: int, seed: int = 5) -> Forest:
+    """The forest over ``n`` stored rows, of which only those that its trees take come to the driver.
+
+    Each tree draws its subset from all rows by their rank, so at most ``TREES * SUBSET`` features are fetched; where there are no
+    more rows than that, all come and the trees draw from them.
+    """
+    order = ["doc_id", *COUNTS, "features"]
+    if n <= TREES * SUBSET:
+        return grow(np.array(rows.orderBy(*order).select("features").toPandas()["features"].tolist()), seed=seed)
+    rng = np.random.default_rng([seed, 1])
+    drawn = [rng.choice(n, SUBSET, replace=False) for _ in range(TREES)]
+    wanted = np.unique(np.concatenate(drawn))
+    ranks = F.broadcast(rows.sparkSession.createDataFrame([(int(r) + 1,) for r in wanted], "rn bigint"))
+    found = global_rank(rows.select(*order), order).join(ranks, "rn").select("rn", "features").toPandas().sort_values("rn")
+    x = np.array(found["features"].tolist())
+    return grow(x, seed=seed, subsets=[np.searchsorted(wanted, d) for d in drawn])
+
+
+def fit(docs: DataFrame, labels: DataFrame, where=None, false_reject: float = 0.005) -> Forest:
+    """Grow the forest on the rule statistics of all labelled documents that pass the base rules and calibrate its
+    threshold on all their quality labels.
+
+    Statistics are taken before labels are joined, so texts are neither shuffled nor sent to the driver.
+    """
+    text = F.coalesce("text", F.lit(""))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(text, 256).alias("digest"), text.alias("text"))
+    stats = map_texts(texts, _stats, _stats_schema("doc_id long, digest string"))
+    passed = stats.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
+    own = passed.join(known_labels(labels, "quality", where), "doc_id").dropDuplicates(["doc_id", "digest"])
+    rows = stored(own.select("doc_id", *COUNTS, "features", (F.col("label") == 1).alias("good")), "rule-statistics")
+    n = rows.count()
+    if n < 2:
         return Forest(np.zeros((0, 1), np.int64), np.zeros((0, 1)), np.zeros((0, 2)), 1, 1.0)
-    x = np.array(pdf["features"].tolist())
-    good = (pdf["label"] == 1).to_numpy()
-    forest = grow(x)
-    forest.threshold = calibrate(forest.score(x), good, false_reject)
+    forest = _grown(rows, n)
+
+    def score(batch: pa.RecordBatch) -> pa.RecordBatch:
+        scores = forest.score(np.array(batch.column("features").to_pylist()))
+        return pa.RecordBatch.from_arrays([pa.array(scores), batch.column("good")], ["score", "good"])
+
+    forest.threshold = calibrate(map_texts(rows.select("features", "good"), score, "score double, good boolean"), false_reject)
     return forest
 
 

@@ -189,6 +189,29 @@ def test_rules_on_held_out_labels(spark, docs, labels):
     assert rules.accepted(docs, forest).count() == rules.judge(docs, forest).where("kept").count()
 
 
+def test_rules_use_every_label(spark):
+    """Bad rows that all come behind the first 20,000 ids by hash still set the threshold."""
+    n, bad = 20_300, 200
+    ids = spark.range(n).select(F.col("id").alias("doc_id"))
+    late = {r["doc_id"] for r in ids.orderBy(F.xxhash64("doc_id").desc()).limit(bad).collect()}
+    words = F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: F.substring(F.md5(F.concat_ws("-", "doc_id", i)), 1, 2 + i % 7))
+    is_bad = F.col("doc_id").isin(late)
+    text = F.array_join(F.when(is_bad, F.transform(words, lambda w: F.concat(F.lit("$#"), F.upper(w), F.lit("!!")))).otherwise(words), " ")
+    docs, labels = ids.select("doc_id", text.alias("text")), ids.select("doc_id", F.when(is_bad, 0).otherwise(1).alias("quality"))
+    forest = rules.fit(docs, labels)
+    rows = rules.judge(docs, forest).where("not base_failed").select("doc_id", "anomaly", "kept").collect()
+    assert any(not r["kept"] for r in rows if r["doc_id"] in late)
+    # the cut among all rows, one after the other
+    best = (-1.0, 1.0)
+    good, junk = sorted(r["anomaly"] for r in rows if r["doc_id"] not in late), [r["anomaly"] for r in rows if r["doc_id"] in late]
+    for cut in sorted({*junk, *good[-300:]}, reverse=True):
+        lost, caught = sum(g >= cut for g in good[-300:]) / len(good), sum(j >= cut for j in junk) / len(junk)
+        if lost <= 0.005 and caught - lost > best[0]:
+            best = (caught - lost, cut)
+    below = max(a for a in [*good, *junk] if a < best[1])
+    assert forest.threshold == (best[1] + below) / 2
+
+
 def test_rules_without_labels_and_rows(spark, edge, labels):
     forest = rules.fit(edge, labels.where("false"))
     out = rules.judge(edge, forest).collect()
