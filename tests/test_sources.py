@@ -1,6 +1,8 @@
 import datetime
 import json
+import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +156,39 @@ def test_messages_without_id_or_time_are_rejected(spark):
     assert [r.tweet_id for r in tweets.timeline(lines).collect()] == [1]
     assert sorted((r.author, r.tweet_id, r.reject_reason) for r in tweets.timeline_rejects(lines).collect()) == [
         (7, 2, "bad_time"), (8, None, "no_id")]
+
+
+def test_plain_pages_read_like_the_parser():
+    from corpuslens.sources.html import _Page
+
+    class Slow(_Page):
+        def _read_plain(self, page):
+            return False
+
+    rng, plain = random.Random(8), 0
+    pieces = [
+        "<div class='a b'>", "<div class=\"a\">", "</div>", "<p>", "</p>", "<span title='x y'>", "</span>", "<br>", "<br/>", "<img src='q'/>",
+        "text ", "a &amp; b &eacute &#39;", "\n", "<h1>", "</h1>", "<script>var t='<div class=\"a\">';</script>", "<style>p {}</style>",
+        "<!-- note -->", "<!DOCTYPE html>", "</nothing>", "<p class='' id=\"2\">", "&", "“ "]
+    odd = ["<DIV CLASS=a>", "< b", "<!-- a - b -->", "<script>'</div>'</script>", "<title><p>t</title>", "<a href='x&amp;y'>", "<script/>", "<", "<a b>",
+           "<textarea>", "<script>", "</p >", "<p\tclass='a'>", "<!-->", "<style>", "</", "<p class='a'id='b'>", "&am"]
+    for n in range(1500):
+        page = "".join(rng.choice(odd if n % 2 and rng.random() < 0.15 else pieces) for _ in range(rng.randrange(1, 30)))
+        fast, slow = _Page(page), Slow(page)
+        plain += fast.rawdata == "" and not slow.get_starttag_text() is None and fast.get_starttag_text() is None
+        assert [(e.tag, e.attrs, e.place, e.last, e.text()) for e in fast.elements] == [
+            (e.tag, e.attrs, e.place, e.last, e.text()) for e in slow.elements], page
+    assert plain > 500
+
+
+def test_rows_of_pages_leave_in_small_batches():
+    """A task holds a page and a small batch of rows, whatever the number of pages in its Arrow batch."""
+    from corpuslens.sources.html import _OUT_CHARS, reader
+
+    page = "<div class='row'><p>" + "x" * 9000 + "</p></div>" + "<div class='row'></div>"
+    batch = pa.RecordBatch.from_pydict({"page_id": list(range(1000)), "html": [page if n % 3 else None for n in range(1000)]})
+    fields = [Field("said", (Step("p"),)), Field("n", (Step("p"),), "count")]
+    out = list(reader(Step("div", "row"), fields, ["page_id"], "html")(iter([batch])))
+    assert len(out) > 4 and all(b.nbytes < 2 * _OUT_CHARS for b in out)
+    rows = [(r["page_id"], [(x["said"], x["n"]) for x in r["rows"]]) for b in out for r in b.to_pylist()]
+    assert rows == [(n, [("x" * 9000, "1"), (None, "0")] if n % 3 else []) for n in range(1000)]
