@@ -93,6 +93,47 @@ def test_late_messages_come_out_as_rejects(spark, tmp_path):
     assert (3, False) not in rows and (1, False) in rows
 
 
+def threads_of(spark, folder, files, latency, delay, name, **options):
+    """The rows a stream gives out that takes one of the files a trigger, and the most states it held."""
+    for rows in files:
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/source")
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{folder}/source")
+    out = thread_stream(stream, latency, delay, **options)
+    query = out.writeStream.format("memory").queryName(name).option("checkpointLocation", f"{folder}/ckpt")
+    query = query.outputMode("append").trigger(availableNow=True).start()
+    drain(query)
+    return spark.table(name).collect(), max(p.stateOperators[0].numRowsTotal for p in query.recentProgress)
+
+
+def test_authors_share_states_and_threads_do_not_mix(spark, tmp_path):
+    """A call per author costs far more than its messages, so the number of states must not grow with authors."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(600):
+        more = int(rng.random() < 0.6)
+        rows.append((rng.randrange(60), (1 << 60) + k, f"m{k}" + ("..." if more else ""), at(k * 3), rng.random() < 0.1, more))
+    files = [rng.sample(rows[n : n + 200], 200) for n in (0, 200, 400)]
+    files[0] += [(None, None, "nobody", at(1), False, 0), (None, (1 << 60) + 1, "somebody", at(2), None, 0)]
+    files[0].append((7, (1 << 60) - 1, "no time", None, False, 0))
+    ends = [[(99, 5_000 + n, "end", T0 + timedelta(days=5 + n), False, 0)] for n in (0, 1)]
+    got, states = threads_of(spark, tmp_path, files + ends, 120, "1 hour", "shared_states", states=4)
+    assert 1 < states <= 5  # one more is for messages without an author
+    closing = [(a, (1 << 61), "z", T0 + timedelta(days=2), False, 0) for a in range(60)]
+    batch = [r for r in expected(rows + closing, 120, LATE, False) if r[1] != 1 << 61]
+    found = [(r.author, r.end_id, r.text, r.t_start, r.t_end, r.is_rt) for r in got if r.author != 99]
+    nobody = {(None, None, "nobody", at(1), at(1), False), (None, (1 << 60) + 1, "somebody", at(2), at(2), False)}
+    assert {r for r in found if r[0] is None} == nobody and not any(r.late for r in got)
+    assert sorted(r for r in found if r[0] is not None) == batch
+
+
+def test_rows_come_out_as_soon_as_the_watermark_is_past_them(spark, tmp_path):
+    ms = timedelta(milliseconds=1)
+    rows = [(1, 1, "a", at(400) - ms, False, 0), (2, 2, "b", at(400), False, 0), (3, 3, "c...", at(300), False, 1),
+            (4, 4, "d...", at(300) + ms, False, 1)]
+    got, _ = threads_of(spark, tmp_path, [rows, [(9, 9, "end", at(500), False, 0)]], 100, "100 seconds", "due_rows")
+    assert {(r.end_id, r.text) for r in got} == {(1, "a"), (3, "c")}
+
+
 @pytest.mark.parametrize("name", ["s09_stream_append", "s09_stream_feed"])
 def test_stream_reads_a_table_of_several_files(spark, tmp_path, name):
     import __spark_entry__ as entry
