@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -94,3 +95,67 @@ def test_counts_past_64_bits_of_a_product(spark):
     for phrase, a, r in (("a b", n, n), ("a c", n // 3, n // 3)):
         left = n + n // 3
         assert got[phrase] == (a, left, r, 2000000 * a // (left + r))
+
+
+def test_rare_phrases_are_not_counted_as_text(spark):
+    """Most pairs of words are rare: they are told apart by hash, so that their texts aren't made, dealt out and summed up."""
+    rng = random.Random(7)
+    rows = [(k, " ".join(f"w{rng.randrange(300)}" for _ in range(400)) + " the same four words.", "en", 0, "") for k in range(60)]
+    chunks = collocations.dictionary(spark.createDataFrame(rows, SCHEMA).repartition(3)).cache()
+    every = {(r["lang"], r["phrase"]): r["f"] for r in collocations.counts(chunks, range(1, 5)).collect()}
+    known = collocations.frequent_hashes(chunks, 30)
+    got = {(r["lang"], r["phrase"]): r["f"] for r in collocations.counts(chunks, range(1, 5), known).collect()}
+    frequent = {p for p, f in every.items() if f >= 30}
+    assert sum(len(p.split()) > 1 for _, p in frequent) >= 6 and len(every) > 40000
+    assert all(got[p] == every[p] for p in frequent)
+    assert len(got) < len(frequent) + len(every) / 20
+    assert chunks.groupBy("lang").sum("words").collect() == [("en", 60 * 404)]
+
+
+def test_equal_hashes_of_other_words_change_no_count(monkeypatch):
+    batch = pa.RecordBatch.from_pydict(
+        {"lang": ["en", "de", "en"], "last": [True, True, False], "chunk": ["a b a", "a b", "b a c d e"], "n": [2, 3, 5]})
+
+    def grams():
+        slab = [r for n in (1, 2, 3, 4) for b in collocations._grams(batch, [n], known) for r in b.to_pylist()]
+        return {(r["lang"], r["phrase"]): r["f"] for r in slab}
+
+    known = {}
+    expected = grams()
+    assert expected["en", "a"] == 4 + 5 and expected["en", "b a"] == 2 + 5 and expected["de", "a b"] == 3 and ("en", "c") not in expected
+    monkeypatch.setattr(collocations, "_word_codes", lambda b, start, stop: np.zeros(len(start), np.uint64))
+    monkeypatch.setattr(collocations, "_lang_codes", lambda langs: np.zeros(len(langs), np.uint64))
+    known = {n: collocations.Filter(np.full(16, (1 << 64) - 1, np.uint64)) for n in (1, 2, 3, 4)}
+    assert grams() == expected
+
+
+def test_word_hashes_depend_on_the_word_alone(monkeypatch):
+    words = [b"a", b"b", b"ab", b"ba", b"a\x00", b"\x00", b"x" * 9, b"y" * 40, "\u00e9".encode()]
+
+    def codes(order):
+        text = b" ".join(words[k] for k in order)
+        stop = np.cumsum([len(words[k]) + 1 for k in order]) - 1
+        start = stop - [len(words[k]) for k in order]
+        return collocations._word_codes(np.frombuffer(text, np.uint8), start, stop)
+
+    rng = random.Random(8)
+    for block in (1 << 18, 32):  # the longest word is past the smaller block
+        monkeypatch.setattr(collocations, "BLOCK", block)
+        collocations._powers.cache_clear()
+        order = [rng.randrange(len(words)) for _ in range(500)]
+        pairs = set(zip(order, codes(order).tolist(), strict=True))
+        assert len(pairs) == len(set(order)) == len({c for _, c in pairs}) == len(words)
+    collocations._powers.cache_clear()
+    assert len(codes([])) == 0
+
+
+def test_buckets_meet_across_batches():
+    def packed(rows):
+        return pa.RecordBatch.from_pydict({
+            "bucket": pa.array([b for b, _, _ in rows], pa.int32()), "codes": [np.array(c, np.uint64).tobytes() for _, c, _ in rows],
+            "times": [np.array(t, np.int64).tobytes() for _, _, t in rows]})
+
+    batches = [packed([(1, [5, 7], [1, 2])]), packed([(1, [7], [4]), (1, [6], [1]), (3, [9], [8])]), packed([(3, [9], [1])])]
+    got = [(c.tolist(), t.tolist()) for c, t in collocations._buckets(iter(batches))]
+    assert got == [([5, 6, 7], [1, 1, 6]), ([9], [9])]
+    assert [c.tolist() for c, _ in collocations._buckets(iter(batches[:1]))] == [[5, 7]] and not list(collocations._buckets(iter([])))
